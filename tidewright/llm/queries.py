@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewright.llm import bpe, mojibake
+from tidewright.llm import bpe, mojibake, packing
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -15,6 +15,10 @@ def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_column(documents(spark, sf), "doc_id", "text")
 
 
+def p9_packed(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(documents(spark, sf), "doc_id", "text")
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return mojibake.repair(documents(spark, sf), "doc_id", "text", "source", with_text=False).select("doc_id")
 
@@ -23,5 +27,5 @@ def p10_repaired(spark: SparkSession, sf: str) -> DataFrame:
     return mojibake.repair(documents(spark, sf), "doc_id", "text", "source")
 
 
-QUERIES = {"p8_ids": p8_ids, "p10_found": p10_found, "p10_repaired": p10_repaired}
+QUERIES = {"p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found, "p10_repaired": p10_repaired}
 SQL: dict[str, str] = {}
