@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from tidewright.plans import problems
+from tidewright.plans import problems, reference
 
 
 def queries() -> dict:
-    return {**problems.QUERIES}
+    return {**problems.QUERIES, **reference.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**problems.SQL}
+    return {**problems.SQL, **reference.SQL}
