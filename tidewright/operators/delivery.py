@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidewright.session import scratch
+from tidewright.session import scratch, ship
 
 SHARD_BITS = 33  # monotonically_increasing_id holds the partition above and the row below this bit
 
@@ -36,6 +36,7 @@ class SeenStore:
     after an epoch; files that no manifest names are left-overs of epochs that failed and are never read."""
 
     def __init__(self, spark: SparkSession, path: str):
+        ship(spark)
         self.spark, self.path = spark, path.rstrip("/")
         self._hp = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._hp(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -78,8 +79,10 @@ class SeenStore:
         state = self.manifest()
         done = {e["epoch"]: e["stage"] for e in state["epochs"]}
         if epoch in done:
-            return self.spark.read.parquet(done[epoch]).filter("not seen").select(*identity, arrival)
-        best = arrivals.groupBy(*identity).agg(F.min(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.col(arrival))).alias("best")).select(*identity, F.col(f"best.{arrival}").alias(arrival))
+            return self._kept(done[epoch], identity, arrival)
+        ids = [f"i{n}" for n in range(len(identity))]
+        named = arrivals.select(*[F.col(c).alias(i) for c, i in zip(identity, ids)], F.struct(*[o.alias(f"o{n}") for n, o in enumerate(order)], F.col(arrival).alias("arrival")).alias("best"))
+        best = named.groupBy(*ids).agg(F.min("best").alias("best")).select(*ids, "best.arrival")
         segment = f"s{len(state['segments'])}-{uuid.uuid4().hex[:8]}"
         stage = f"{self.path}/stage-{segment}"
         spot = F.monotonically_increasing_id()
@@ -89,10 +92,10 @@ class SeenStore:
                 part = self.spark.read.parquet(s)
                 known = part if known is None else known.unionByName(part)
             same = None
-            for c in identity:
+            for c in ids:
                 x = F.col(f"b.{c}").eqNullSafe(F.col(f"k.{c}"))
                 same = x if same is None else same & x
-            coded = best.alias("b").join(known.alias("k"), same, "left").select(*[F.col(f"b.{c}") for c in identity], F.col(f"b.{arrival}"), "segment", "shard", "code")
+            coded = best.alias("b").join(known.alias("k"), same, "left").select(*[F.col(f"b.{c}") for c in ids], "b.arrival", "segment", "shard", "code")
             bits = self.seen()
             bucket = F.bitmap_bucket_number(F.col("code") + 1).alias("bucket")
             coded = coded.withColumn("bucket", bucket).join(bits, ["segment", "shard", "bucket"], "left")
@@ -100,18 +103,18 @@ class SeenStore:
             byte = F.conv(F.hex(F.substring(F.col("bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
             hit = F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), F.pmod(at, F.lit(8))).cast("int")) > 0, F.lit(False))
             fresh = F.col("code").isNull()
-            coded = coded.select(*identity, arrival, F.coalesce("segment", F.lit(segment)).alias("segment"), "shard", "code", hit.alias("seen"), fresh.alias("fresh"), spot.alias("spot"))
+            coded = coded.select(*ids, "arrival", F.coalesce("segment", F.lit(segment)).alias("segment"), "shard", "code", hit.alias("seen"), fresh.alias("fresh"), spot.alias("spot"))
         else:
-            coded = best.select(*identity, arrival, F.lit(segment).alias("segment"), F.lit(None).cast("int").alias("shard"), F.lit(None).cast("long").alias("code"), F.lit(False).alias("seen"), F.lit(True).alias("fresh"), spot.alias("spot"))
+            coded = best.select(*ids, "arrival", F.lit(segment).alias("segment"), F.lit(None).cast("int").alias("shard"), F.lit(None).cast("long").alias("code"), F.lit(False).alias("seen"), F.lit(True).alias("fresh"), spot.alias("spot"))
         low = (1 << SHARD_BITS) - 1
         coded.select(
-            *identity, arrival, "segment",
+            *ids, "arrival", "segment",
             F.coalesce("shard", F.shiftright("spot", SHARD_BITS).cast("int")).alias("shard"),
             F.coalesce("code", F.col("spot").bitwiseAND(F.lit(low))).alias("code"),
             "seen", "fresh",
         ).write.parquet(stage)
         staged = self.spark.read.parquet(stage)
-        staged.filter("fresh").select(*identity, "segment", "shard", "code").write.parquet(f"{self.path}/dict-{segment}")
+        staged.filter("fresh").select(*ids, "segment", "shard", "code").write.parquet(f"{self.path}/dict-{segment}")
         new_bits = (
             staged.filter("not seen")
             .groupBy("segment", "shard", F.bitmap_bucket_number(F.col("code") + 1).alias("bucket"))
@@ -122,7 +125,10 @@ class SeenStore:
         at = f"{self.path}/bits-{segment}"
         new_bits.withColumn("bits", pandas_udf(_deflate, "binary")("bits")).write.parquet(at)
         self._publish({"segments": [*state["segments"], f"{self.path}/dict-{segment}"], "bitmaps": at, "epochs": [*state["epochs"], {"epoch": epoch, "stage": stage}]})
-        return staged.filter("not seen").select(*identity, arrival)
+        return self._kept(stage, identity, arrival)
+
+    def _kept(self, stage: str, identity: list[str], arrival: str) -> DataFrame:
+        return self.spark.read.parquet(stage).filter("not seen").select(*[F.col(f"i{n}").alias(c) for n, c in enumerate(identity)], F.col("arrival").alias(arrival))
 
 
 def surplus(arrivals: DataFrame, identity: list[str], order: list, arrival: str, store: SeenStore | None = None, epoch: str = "all") -> DataFrame:

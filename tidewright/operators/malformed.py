@@ -148,7 +148,7 @@ def _columnar(records: pa.Array, columns: tuple[Column, ...]) -> list[pa.Array]
     return out
 
 
-def bisect(records: pa.Array, columns: tuple[Column, ...], land: Callable[[int, list[pa.Array]], None], refuse: Callable[[int, str, str], None], leaf: int = 4) -> None:
+def bisect(records: pa.Array, columns: tuple[Column, ...], land: Callable[[int, list[pa.Array]], None], refuse: Callable[[int, str, str], None], leaf: int = 8) -> None:
     """Calls land for runs of records that can land (offset, values by column) and refuse for each that can't (offset, reason, detail)."""
     todo = [(0, len(records))]
     while todo:

@@ -52,10 +52,10 @@ def merge_spans(df: DataFrame, keys: list[str], start: str, end: str, carry: dic
     is the form for hot keys.)"""
     far = F.to_date(F.lit("9999-12-31"))
     rows = df.withColumn("_s", F.col(start)).withColumn("_e", F.coalesce(F.col(end), far)).filter("_s is not null and _e >= _s")
-    w = Window.partitionBy(*keys).orderBy("_s", "_e")
-    before = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    w = Window.partitionBy(*keys).orderBy(F.unix_date("_s"))  # rows of one start are peers, so their order doesn't matter
+    before = F.max("_e").over(w.rangeBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("_new", F.when(before.isNull() | (F.col("_s") > before), 1).otherwise(0))
-    rows = rows.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("_island", F.sum("_new").over(w.rangeBetween(Window.unboundedPreceding, 0)))
     out = rows.groupBy(*keys, "_island").agg(F.min("_s").alias("span_start"), F.nullif(F.max("_e"), far).alias("span_end"), F.count("*").alias("n"), *[c.alias(k) for k, c in (carry or {}).items()])
     return out.drop("_island")
 

@@ -260,8 +260,8 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
 
 P7_SQL = """
 WITH r AS (SELECT upper(trim(member_id)) AS m, upper(trim(plan_id)) AS p, least(coverage_start_date, retro_effective_date) AS s, coalesce(coverage_end_date, DATE '9999-12-31') AS e FROM eligibility_event WHERE trim(member_id) <> '' AND trim(plan_id) <> ''),
-f AS (SELECT *, max(e) OVER (PARTITION BY m, p ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM r WHERE s IS NOT NULL AND e > s),
-i AS (SELECT *, sum(CASE WHEN before IS NULL OR s > before THEN 1 ELSE 0 END) OVER (PARTITION BY m, p ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM f),
+f AS (SELECT *, max(e) OVER (PARTITION BY m, p ORDER BY s RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING) AS before FROM r WHERE s IS NOT NULL AND e > s),
+i AS (SELECT *, sum(CASE WHEN before IS NULL OR s > before THEN 1 ELSE 0 END) OVER (PARTITION BY m, p ORDER BY s RANGE UNBOUNDED PRECEDING) AS k FROM f),
 q AS (SELECT m, p, k, min(s) AS s, max(e) AS e FROM i GROUP BY 1, 2, 3),
 g AS (SELECT m, p, e AS s, lead(s) OVER (PARTITION BY m, p ORDER BY s) AS e FROM q)
 SELECT m AS member_id, p AS plan_id, 'period' AS kind, strftime(s, '%Y-%m-%d') AS start_date, strftime(e, '%Y-%m-%d') AS end_date FROM q
