@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 import pyarrow.csv as pacsv
 from pyspark.sql import DataFrame
 
-from tidewright.session import ship
+from tidewright.session import ship, spread
 
 BLOCK = 4096
 BLANKS = " \t\r\n"
@@ -175,7 +175,7 @@ def read_records(df: DataFrame, record: str, keys: list[str], columns: tuple[Col
     (both null if it can land). Reasons: QUOTING, COLUMN_COUNT, INVALID_VALUE, the first that applies. A null record has
     no fields: COLUMN_COUNT. Other columns of df are left out; a key may not be named like a column. Rows aren't moved between partitions."""
     ship(df.sparkSession)
-    kept = df.select(*keys, df[record].alias("raw_record"))
+    kept = spread(df.select(*keys, df[record].alias("raw_record")))
     names = [c.name for c in columns]
     schema = pa.schema([pa.field(n, pa.string()) for n in names] + [pa.field(n, pa.string()) for n in ("reason", "detail", "raw_record")])
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in keys] + [f"`{n}` string" for n in schema.names])

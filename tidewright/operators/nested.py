@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.session import spread
+
 VARIANTS = "array<variant>"
 
 
@@ -85,7 +87,8 @@ def explode_children(df: DataFrame, record_key: str, text: str, children: list[C
     Positions count from 0; entries that are null, or no objects, take a position but give no row. Text that is null, empty or not valid
     JSON gives none. child_key is empty if absent or null; parent_seq is 0 if absent or not a number. Repeated records give
     their rows each time; other columns are ignored. The parts of a record are parsed once."""
-    roots = df.select(F.col(record_key).cast("string").alias("record_key"), entries(parsed(F.col(text))).alias("_roots")).filter(F.size("_roots") > 0)
+    texts = spread(df.select(F.col(record_key).cast("string").alias("record_key"), F.col(text).alias("_text")))
+    roots = texts.select("record_key", entries(parsed(F.col("_text"))).alias("_roots"))
     return roots.select("record_key", F.inline(F.concat(*[child_rows(F.col("_roots"), c) for c in children])))
 
 

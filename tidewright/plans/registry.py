@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewright.plans import problems, reference
+from tidewright.plans import claims, problems, reference  # noqa: F401 (claims registers its queries)
 
 
 def queries() -> dict:

@@ -65,6 +65,16 @@ def lookup_side(df: DataFrame, most: int = 20_000) -> DataFrame:
     return F.broadcast(df) if rows_at_most(df, most) else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many partitions as there are cores: a file that a scan can't split keeps costly work on one core. Inputs
+    with enough partitions, and those that were shuffled, stay as they are, so large inputs are never moved for this."""
+    plan = df._jdf.queryExecution()
+    if "Exchange" in plan.sparkPlan().toString():
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if plan.toRdd().getNumPartitions() >= cores else df.repartition(cores)
+
+
 _shipped: set[str] = set()
 
 
