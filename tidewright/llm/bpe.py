@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidewright.session import ship
+from tidewright.session import ship, spread
 
 TOKENIZERS = "/opt/tokenizers"  # where the tokenizer files lie; a parameter of all operators
 #: The pattern that splits text before the merges (fixed value of the tokenizer).
@@ -267,5 +267,5 @@ def encode_column(df: DataFrame, key: str, text: str, tokenizer: str = "byte_bpe
                 values = unpacked(b"".join(ids))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(some)), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], names=["key", "ids"])
 
-    out = df.select(df[key].alias("key"), df[text].cast("string").alias("text")).mapInArrow(run, f"key {kind}, ids array<int>")
+    out = spread(df.select(df[key].alias("key"), df[text].cast("string").alias("text"))).mapInArrow(run, f"key {kind}, ids array<int>")
     return out.withColumnRenamed("key", key)

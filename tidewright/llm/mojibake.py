@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.session import cut, ship
+from tidewright.session import cut, ship, spread
 
 STRETCH = re.compile("[A-Za-z]*[^\x00-\x7f][A-Za-z\x80-\U0010ffff]*")
 LOST = "�"
@@ -284,7 +284,7 @@ def stretches(df: DataFrame, text: str, source: str | None) -> DataFrame:
             yield pd.DataFrame(list(seen), columns=["slot", "stretch", "context"])
 
     at = F.col(source).cast("string") if source else F.lit(None).cast("string")
-    rows = df.select(at.alias("source"), F.col(text).alias("text")).mapInPandas(run, "slot int, stretch string, context long")
+    rows = spread(df.select(at.alias("source"), F.col(text).alias("text"))).mapInPandas(run, "slot int, stretch string, context long")
     return rows.groupBy("slot", "stretch", "context").agg(F.lit(1).alias("one")).groupBy("slot", "stretch").agg(F.count("*").alias("n"))
 
 
@@ -393,6 +393,6 @@ def repair(df: DataFrame, key: str, text: str, source: str | None = None, rounds
             yield pd.DataFrame(rows, columns=["key", "stretches", "restorable", "chain", "repaired"])
 
     at = F.col(source).cast("string") if source else F.lit(None).cast("string")
-    rows = df.select(F.col(key).alias("key"), at.alias("source"), F.col(text).alias("text"))
+    rows = spread(df.select(F.col(key).alias("key"), at.alias("source"), F.col(text).alias("text")))
     out = rows.mapInPandas(run, f"key {kind}, stretches int, restorable boolean, chain string, repaired string").withColumnRenamed("key", key)
     return out if with_text else out.drop("repaired")

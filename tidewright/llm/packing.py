@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm import bpe
-from tidewright.session import cut, ship
+from tidewright.session import cut, ship, spread
 
 SHARD = 1024  # texts of a shard
 K1, B = 1.2, 0.75
@@ -116,7 +116,7 @@ def sized(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str, fol
                 lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(x).astype(np.int32))) for x in (terms, counts)]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(some)), pa.array(n, pa.int64()), *lists], names=["key", "n", "terms", "counts"])
 
-    return df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, f"key {kind}, n long, terms array<int>, counts array<int>")
+    return spread(df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))).mapInArrow(run, f"key {kind}, n long, terms array<int>, counts array<int>")
 
 
 def pack(df: DataFrame, key: str, text: str, capacity: int = 2048, tokenizer: str = "byte_bpe_50k", folder: str = bpe.TOKENIZERS, shard: int = SHARD) -> DataFrame:
@@ -124,8 +124,8 @@ def pack(df: DataFrame, key: str, text: str, capacity: int = 2048, tokenizer: st
 
     A container holds at most `capacity` tokens. Texts of at most that size have one piece; longer ones fill containers by themselves and their
     rest is packed as a text. Null and empty texts have no tokens, take no room and come last in a container. Repeated rows are texts of their own;
-    other columns are ignored. The shards are runs of rows of one partition, so that no text is moved to another task; each leaves at most a few
-    containers with room. Container numbers are unique but not consecutive."""
+    other columns are ignored. The shards are runs of rows of one partition, so that texts need not be moved between tasks; each leaves at most a
+    few containers with room. Container numbers are unique but not consecutive."""
     ship(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
     table = cut(sized(df, key, text, capacity, tokenizer, folder), "sized")
