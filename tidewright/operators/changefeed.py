@@ -39,14 +39,15 @@ def apply_changes(changes: DataFrame, base: DataFrame | None = None) -> DataFram
     clock. An empty feed gives no rows; repeated rows count once; further columns are ignored."""
     cols = ["entity", "row", "version", "ts", "ends", "ord"]
     images = compact(changes.select(*cols) if base is None else changes.select(*cols).unionByName(base.select(*cols)))
-    head = images.groupBy("entity").agg(F.max(F.struct("version", "ts", "ends")).alias("head"))
+    # Both sides of the join read all of the images, so that they share one exchange: hence ord in the head and no filter on row.
+    head = images.groupBy("entity").agg(F.max(F.struct("version", "ts", "ends", "ord")).alias("head"))
     after = F.struct(F.lit(1).alias("sign"))
     before = F.struct(F.lit(-1).alias("sign"))
     replaced = (F.col("version") < F.col("head.version")) | F.col("head.ends")
+    signs = F.when(F.col("row").isNull(), None).when(replaced, F.array(after, before)).otherwise(F.array(after))
     return (
-        images.filter(F.col("row").isNotNull())
-        .join(head, "entity")
-        .select("entity", "row", "version", "ord", F.inline(F.when(replaced, F.array(after, before)).otherwise(F.array(after))))
+        images.join(head, "entity")
+        .select("entity", "row", "version", "ord", F.inline(signs))
         .groupBy("entity", "row", "version", "ord")
         .agg(F.sum("sign").alias("n"))
         .filter("n > 0")
