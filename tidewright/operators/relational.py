@@ -17,7 +17,8 @@ def latest_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 def latest_values(df: DataFrame, keys: list[str], order: list[str], values: list[str]) -> DataFrame:
     """As latest_by with the greatest `order`, for a few values only: one aggregation with partial results, safe for hot keys."""
-    return df.groupBy(*keys).agg(F.max(F.struct(*order, *values)).alias("_m")).select(*keys, *[F.col(f"_m.{v}").alias(v) for v in values])
+    best = F.max(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)]))
+    return df.groupBy(*keys).agg(best.alias("_m")).select(*keys, *[F.col(f"_m.v{i}").alias(v) for i, v in enumerate(values)])
 
 
 def route_quarantine(df: DataFrame, rules: list[tuple[str, Column]], status: str, reason: str) -> tuple[DataFrame, DataFrame]:

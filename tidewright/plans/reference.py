@@ -358,7 +358,7 @@ def agg4_conditional(spark, sf):
 
 @query("SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS latest_order FROM orders GROUP BY 1")
 def agg6_max_by(spark, sf):
-    return R.latest_values(table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey", F.col("o_orderkey").alias("latest_order")), ["o_custkey"], ["o_orderdate", "o_orderkey"], ["latest_order"])
+    return R.latest_values(table(spark, sf, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderkey"]).withColumnRenamed("o_orderkey", "latest_order")
 
 
 @query("SELECT o_custkey, list(o_orderkey ORDER BY o_orderdate, o_orderkey) AS orders FROM orders GROUP BY 1")
