@@ -1,6 +1,8 @@
 import random
 
-from tidewright.operators.changefeed import apply_changes, compact, flagged_codes
+from tidewright.operators.changefeed import ChangeLog, apply_changes, compact, flagged_codes
+from tidewright.session import scratch
+from tidewright.sources.tables import Table
 
 SCHEMA = "entity string, row string, version int, ts timestamp_ntz, ends boolean, ord long"
 
@@ -56,3 +58,12 @@ def test_empty_clashing_and_void_alone(spark, rows):
 def test_flags(spark, rows):
     t = spark.createDataFrame([(" void ", True, None), ("PAID", False, False), ("x", None, None), (None, True, True), (" ", True, True)], "c string, a boolean, b boolean")
     assert rows(flagged_codes(t, "c", ["a", "b"])) == [("VOID",)]
+
+
+def test_log_takes_batches_in_any_order(spark, rows):
+    changes = some(8, 90)
+    for order in ((0, 1, 2), (2, 0, 1, 0)):
+        log = ChangeLog(Table(spark, scratch(spark, "log")))
+        for i in order:
+            out = log.advance(frame(spark, changes[30 * i : 30 * i + 30]))
+        assert rows(out) == brute(changes)

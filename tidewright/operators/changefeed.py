@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.expr import norm_id
+from tidewright.sources.tables import Table
 
 
 def compact(changes: DataFrame) -> DataFrame:
@@ -55,6 +56,23 @@ def apply_changes(changes: DataFrame, base: DataFrame | None = None) -> DataFram
     )
 
 
+class ChangeLog:
+    """The compacted changes of a feed in a versioned table: batches may come repeated and in any order."""
+
+    def __init__(self, table: Table):
+        self.table = table
+
+    def advance(self, batch: DataFrame) -> DataFrame:
+        """Takes a batch in and returns the rows in force after it. The new base is written before it counts, by one rename."""
+        old = self.table.read()
+        cols = ["entity", "row", "version", "ts", "ends", "ord"]
+        self.table.overwrite(compact(batch.select(*cols) if old is None else old.select(*cols).unionByName(batch.select(*cols))))
+        return self.current()
+
+    def current(self) -> DataFrame:
+        return apply_changes(self.table.read())
+
+
 def flagged_codes(table: DataFrame, code: str, flags: list[str]) -> DataFrame:
     """The normalized codes (column code) that have any of the flags set; a null flag counts as false, a null or blank code is none."""
     any_flag = F.lit(False)

@@ -57,12 +57,14 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
     v = F.try_parse_json(F.when(as_json, key))
     stated = F.when(as_json, norm_id(F.try_variant_get(v, "$.claim_id", "string"))).otherwise(norm_id(F.regexp_extract(key, r"^([^|]*)", 1)))
     version = F.when(as_json, F.try_variant_get(v, "$.claim_version", "string")).otherwise(F.regexp_extract(key, r"\|\s*([0-9]+)\s*$", 1)).try_cast("int")
-    digest = F.lower(F.regexp_replace(F.btrim("payload_hash", F.lit(" \t\r\n")), r"^(?i)sha-?256\s*[:=]\s*", ""))
+    stated_hash = F.lower(F.regexp_replace(F.btrim("payload_hash", F.lit(" \t\r\n")), r"^(?i)sha-?256\s*[:=]\s*", ""))
+    text = F.coalesce(stated_hash, F.sha2("payload", 256))
+    digest = F.when(text.rlike("^[0-9a-f]{64}$"), F.unhex(text)).otherwise(F.encode(text, "UTF-8"))  # what is no digest stands for itself
     return table(spark, sf, "br_raw_claim_event").select(
         "bronze_event_id",
         stated.alias("claim_id"),
         version.alias("claim_version"),
-        F.unhex(F.coalesce(digest, F.sha2("payload", 256))).alias("digest"),
+        digest.alias("digest"),
         "source_extract_ts",
         "ingest_ts",
     )
