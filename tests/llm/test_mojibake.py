@@ -89,10 +89,15 @@ def test_nothing_to_find(spark):
 @pytest.mark.parametrize("codec", ["latin-1", "cp1252", "cp1251", "cp437", "mac_roman"])
 def test_chains_undo_what_they_did(codec):
     for t in ("größer", "очередь", "この値"):
-        assert m.undo(garbled(t, codec), m.Chain(codec, "utf-8")) == t
-    twice = garbled(garbled("é", "cp1252"), "cp1252")
-    assert m.undo(twice, m.Chain("cp1252", "utf-8", 2)) == "é"
-    assert m.undo("é", m.Chain("latin-1", "utf-8")) is None
+        assert m.undo(garbled(t, codec), m.Chain(codec, "utf-8")) == [t]
+    assert m.undo(garbled(garbled("é", "cp1252"), "cp1252"), m.Chain("cp1252", "utf-8", 2)) == ["é"]
+    assert "É" in m.undo(garbled(garbled("É", "latin-1"), "cp1252"), m.Chain("cp1252", "utf-8", 2))
+    assert m.undo("é", m.Chain("latin-1", "utf-8")) == []
+
+
+def test_halves_of_characters():
+    s = garbled("この期間を表", "cp1252", "shift_jis")
+    assert m.undo(s[: s.index("\\")], m.Chain("cp1252", "shift_jis")) == ["この期間を" + m.CUT_OFF]
 
 
 def test_readings_begin_with_what_stands_there():

@@ -18,12 +18,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.session import cut, ship, spread
 
-STRETCH = re.compile("[A-Za-z]*[^\x00-\x7f][A-Za-z\x80-\U0010ffff]*")
 LOST = "�"
 #: Encodings that texts are read in by mistake (the single-byte ones), and those they may have been written in.
 READ_AS = (
@@ -37,11 +37,13 @@ TRI, BI, UNI = 1 << 19, 1 << 17, 1 << 16  # sizes of the hashed n-gram tables
 SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # each n-gram has a slot by each seed, in a table of its own; the lesser count holds
 LAYOUT = (TRI, TRI, BI, BI, UNI, BI, BI, UNI)  # trigrams, bigrams, characters; and pairs and characters that another follows
 COUNTS = sum(LAYOUT)
-BACKOFF = 2.0
+BACKOFF = 6.0
 WILD = 0.1  # probability of a lost character in its place
+CUT_OFF = "\uffff"  # in a reading: the first half of a character whose second half is ASCII and stands outside the stretch
+BOM, BOM_SHARE = "\ufeff", 0.0005  # files may begin with a byte-order mark, whether or not this corpus has one as it should be
 START = 0.9  # prior that a stretch is as it was meant, before the first round
 DOUBTED = 0.001  # weight in the first character model of stretches that read as UTF-8 or have lost something
-POOL = 3.0  # stretches' worth of the source's prior in the record's
+POOL = 2.0  # stretches' worth of the source's prior in the record's
 
 
 @dataclass(frozen=True)
@@ -76,6 +78,9 @@ def _byte_table(codec: str) -> dict[int, int]:
 
 
 _TABLES = {c: _byte_table(c) for c in READ_AS if c not in WIDE}
+#: A byte-order mark, as it is or read as any of these, is a stretch by itself; else a stretch is a run of letters and non-ASCII characters.
+_MARKS = [BOM, *sorted({"".join(chr(next(k for k, x in t.items() if x == b)) for b in b"\xef\xbb\xbf") for t in _TABLES.values()})]
+STRETCH = re.compile("|".join(map(re.escape, _MARKS)) + "|[A-Za-z]*[^\x00-\x7f][A-Za-z\x80-\U0010ffff]*")
 _CHARS = {c: frozenset(chr(k) for k, b in t.items() if b != 0xFFFF) | frozenset(map(chr, range(128))) for c, t in _TABLES.items()}
 
 
@@ -89,17 +94,24 @@ def as_bytes(text: str, codec: str) -> bytes | None:
         return None
 
 
-def undo(text: str, chain: Chain) -> str | None:
-    """The text that the chain turns into `text`; None if there is none."""
-    for _ in range(chain.times):
-        raw = as_bytes(text, chain.read_as)
-        try:
-            text = raw.decode(chain.written_in) if raw else None
-        except UnicodeError:
-            return None
-        if text is None:
+def decoded(raw: bytes, codec: str) -> str | None:
+    """The bytes read in a codec; None if they can't be. In codecs whose characters may end in an ASCII byte, a last half is CUT_OFF."""
+    try:
+        return raw.decode(codec)
+    except UnicodeDecodeError as e:
+        if codec not in WIDE or e.start != len(raw) - 1 or len(raw) < 5:
             return None
-    return text
+        return raw[:-1].decode(codec) + CUT_OFF
+
+
+def undo(text: str, chain: Chain) -> list[str]:
+    """The texts that the chain may have turned into `text`. The second time a text was garbled it may have been read in another of the
+    two commonest encodings."""
+    raw = as_bytes(text, chain.read_as)
+    out = decoded(raw, chain.written_in) if raw else None
+    if not out or chain.times == 1:
+        return [out] if out else []
+    return list(dict.fromkeys(x for r in (chain.read_as, "latin-1", "cp1252") for x in undo(out, Chain(r, chain.written_in))))
 
 
 _BY_READER: dict[str, list[tuple[int, Chain]]] = {}
@@ -117,16 +129,12 @@ def readings(stretch: str) -> tuple[list[int], list[str]]:
         return ([MEANT, LOSSY], [stretch, stretch]) if stretch == LOST else ([LOSSY], [stretch])
     first: dict[str, int] = {stretch: MEANT}
     for codec, chains in _BY_READER.items():
-        raw = as_bytes(stretch, codec)
-        if raw is None:
+        if as_bytes(stretch, codec) is None:
             continue
         for k, c in chains:
-            try:
-                r = raw.decode(c.written_in) if c.times == 1 else undo(raw.decode(c.written_in), Chain(codec, "utf-8", c.times - 1))
-            except UnicodeError:
-                continue
-            if r and (r not in first or k < first[r]) and not _CONTROL(r):
-                first[r] = k
+            for r in undo(stretch, c):
+                if (r not in first or k < first[r]) and not _CONTROL(r):
+                    first[r] = k
     order = sorted(first, key=first.get)
     return [first[r] for r in order], order
 
@@ -173,6 +181,7 @@ class Letters:
             wild = np.repeat(lossy, sizes)[2:]
             near = wild & (lost[2:] | lost[1:-1] | lost[:-2])
             p3 = np.where(wild & lost[2:], WILD, np.where(near, np.maximum(p1 * 4, p3), p3))
+        p3 = np.where(c[2:] == ord(CUT_OFF), WILD / 5, p3)
         logs = np.zeros(len(c))
         logs[2:] = np.log(p3)
         logs[starts] = 0.0
@@ -205,7 +214,7 @@ class Weighed:
         for ks, ts in read:
             n = 0
             for k, t in zip(ks, ts):
-                if k < 2 or all(known[ord(x) & (UNI - 1)] for x in t):
+                if k < 2 or all(known[ord(x) & (UNI - 1)] or x == CUT_OFF for x in t):
                     kinds.append(k)
                     texts.append(t)
                     n += 1
@@ -255,9 +264,10 @@ def _count(into: np.ndarray, texts: list[str], weights: np.ndarray) -> None:
         at += size
 
 
-def _tables(found: pd.DataFrame) -> tuple[Letters, np.ndarray]:
+def _tables(found: pa.Table) -> tuple[Letters, np.ndarray]:
     all_ = np.zeros(COUNTS + SLOTS * len(KINDS), np.float32)
-    all_[found["slot"].to_numpy()] = found["weight"].to_numpy()
+    all_[found["slot"].to_numpy()] = found["weight"].to_numpy()  # at most one row per slot, whatever the corpus
+    _count(all_[:COUNTS], [BOM], np.array([max(1.0, BOM_SHARE * all_[2 * TRI + 2 * BI : 2 * TRI + 2 * BI + UNI].sum())]))
     return Letters(all_[:COUNTS]), all_[COUNTS:].reshape(SLOTS, len(KINDS))
 
 
@@ -301,7 +311,7 @@ def fit(df: DataFrame, text: str, source: str | None, rounds: int = 4) -> Model:
 
     table = cut(stretches(df, text, source).mapInPandas(read, "slot int, stretch string, n long, kinds array<int>, texts array<string>"), "stretches")
 
-    def gather(shared) -> pd.DataFrame:
+    def gather(shared) -> pa.Table:
         def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rows = np.zeros(base + SLOTS * width)
             letters, priors = (Letters(shared.value[0]), shared.value[1]) if shared else (None, None)
@@ -317,13 +327,13 @@ def fit(df: DataFrame, text: str, source: str | None, rounds: int = 4) -> Model:
                 slots = np.repeat(p["slot"].to_numpy(np.int64), w.sizes)
                 x = _posteriors(w.lls, w.kinds, w.starts, w.sizes, priors[slots, w.kinds]) * np.repeat(n, w.sizes)
                 np.add.at(rows, base + slots * width + w.kinds, x)
-                told = np.flatnonzero((w.kinds != LOSSY) & (x > 1e-4))
+                told = np.flatnonzero((w.kinds != LOSSY) & (x > 1e-4) & np.fromiter((CUT_OFF not in t for t in w.texts), bool, len(w.texts)))
                 if len(told):
                     _count(rows, [w.texts[i] for i in told], x[told])
             at = np.flatnonzero(rows)
             yield pd.DataFrame({"slot": at, "weight": rows[at]})
 
-        return table.mapInPandas(run, "slot long, weight double").groupBy("slot").agg(F.sum("weight").alias("weight")).toPandas()
+        return table.mapInPandas(run, "slot long, weight double").groupBy("slot").agg(F.sum("weight").alias("weight")).toArrow()
 
     letters, _ = _tables(gather(None))
     priors = np.tile(start_prior(), (SLOTS, 1))
@@ -388,8 +398,8 @@ def repair(df: DataFrame, key: str, text: str, source: str | None = None, rounds
                 fixed = None
                 if with_text:
                     it = iter(verdicts)
-                    fixed = STRETCH.sub(lambda _, it=it: next(it)[1], t)
-                rows.append((k, len(bad), LOSSY not in [v[0] for v in bad], max(sorted(set(names)), key=names.count), fixed))
+                    fixed = STRETCH.sub(lambda at, it=it: at[0] if CUT_OFF in (r := next(it)[1]) else r, t)
+                rows.append((k, len(bad), not any(v[0] == LOSSY or CUT_OFF in v[1] for v in bad), max(sorted(set(names)), key=names.count), fixed))
             yield pd.DataFrame(rows, columns=["key", "stretches", "restorable", "chain", "repaired"])
 
     at = F.col(source).cast("string") if source else F.lit(None).cast("string")

@@ -140,11 +140,11 @@ def pack(df: DataFrame, key: str, text: str, capacity: int = 2048, tokenizer: st
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df_[at], pa.int64())], names=["term", "df"])
 
     # One number per token of the vocabulary, however large the corpus.
-    stats = table.select("terms").mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toPandas()
+    stats = table.select("terms").mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
     count, mean = table.agg(F.count("*"), F.avg(F.when(F.col("n") > capacity, F.col("n") % capacity).otherwise(F.col("n")))).first()
-    vocabulary = int(stats["term"].max()) + 1 if len(stats) else 1
-    df_all = np.zeros(vocabulary)
-    df_all[stats["term"].to_numpy(np.int64)] = stats["df"].to_numpy(np.float64)
+    terms = stats["term"].to_numpy()
+    df_all = np.zeros(int(terms.max()) + 1 if len(terms) else 1)
+    df_all[terms] = stats["df"].to_numpy()
     idf = np.log(1 + (count - df_all + 0.5) / (df_all + 0.5))
     shared = df.sparkSession.sparkContext.broadcast((idf, float(mean or 0)))
 
