@@ -37,7 +37,7 @@ def test_blocks_agree_with_the_strict_parser():
     for size in (1, 7, 50, 600):
         records = [r.choice(CASES)[0] if r.random() < 0.2 else GOOD for _ in range(size)]
         got: dict[int, tuple] = {}
-        m.bisect(pa.array(records, pa.string()), CLAIM_EXTRACT, lambda at, v: got.update({at + i: (None, [c[i].as_py() for c in v]) for i in range(len(v[0]))}), lambda i, reason, _: got.update({i: (reason, None)}))
+        m.Bisection(CLAIM_EXTRACT).read(pa.array(records, pa.string()), lambda at, v: got.update({at + i: (None, [c[i].as_py() for c in v]) for i in range(len(v[0]))}), lambda i, reason, _: got.update({i: (reason, None)}))
         want = {i: (d[0], d[2]) for i, d in enumerate(m.diagnose(x, CLAIM_EXTRACT) for x in records)}
         assert got == want
 

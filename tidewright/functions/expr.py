@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLANKS = " \t\r\n"
+#: What stands for null in surrogate keys (fixed value, so that keys stay comparable).
+NULL_IN_KEYS = "_dbt_utils_surrogate_key_null_"
 
 
 def norm_id(c: Column | str) -> Column:
@@ -52,7 +54,7 @@ def natural_key(*parts: Column) -> Column:
     return F.concat(*out[1:])
 
 
-def surrogate_key(*cols: Column, absent: str = "_dbt_utils_surrogate_key_null_") -> Column:
+def surrogate_key(*cols: Column, absent: str = NULL_IN_KEYS) -> Column:
     """MD5 over the |-joined text of the columns, null being a sentinel."""
     out = []
     for c in cols:

@@ -84,7 +84,7 @@ def fits(column: Column, value: str | None) -> bool:
     if column.timestamp:
         m = re.match(TIMESTAMP.replace(r"\z", r"\Z"), value, re.ASCII)
         try:
-            return m is not None and bool(datetime.strptime(f"{m[1]} {m[2]}", "%Y-%m-%d %H:%M:%S")) and m[2][6:] < "60"
+            return m is not None and m[2] < "24" and bool(datetime.fromisoformat(f"{m[1]}T{m[2]}"))
         except ValueError:
             return False
     return True
@@ -148,26 +148,51 @@ def _columnar(records: pa.Array, columns: tuple[Column, ...]) -> list[pa.Array]
     return out
 
 
-def bisect(records: pa.Array, columns: tuple[Column, ...], land: Callable[[int, list[pa.Array]], None], refuse: Callable[[int, str, str], None], leaf: int = 8) -> None:
-    """Calls land for runs of records that can land (offset, values by column) and refuse for each that can't (offset, reason, detail)."""
-    todo = [(0, len(records))]
-    while todo:
-        at, n = todo.pop()
-        if n > leaf:
-            part = records.slice(at, n)
-            values = _columnar(part, columns)
-            if values is not None:
-                land(at, values)
-            else:
-                half = n // 2
-                todo += [(at + half, n - half), (at, half)]
-            continue
-        for i in range(at, at + n):
-            reason, detail, values = diagnose(records[i].as_py(), columns)
-            if reason:
-                refuse(i, reason, detail)
-            else:
-                land(i, [pa.array([v], pa.string()) for v in values])
+class Bisection:
+    """Reads runs of records. A run starts with as many records as it seems to pay: twice the last that could land whole, half the last that
+    couldn't, so that where bad records are frequent no large block is parsed in vain."""
+
+    def __init__(self, columns: tuple[Column, ...], leaf: int = 16):
+        self.columns, self.leaf, self.size = columns, leaf, BLOCK
+
+    def read(self, records: pa.Array, land: Callable[[int, list[pa.Array]], None], refuse: Callable[[int, str, str], None]) -> None:
+        """Calls land for runs of records that can land (offset, values by column) and refuse for each that can't (offset, reason, detail)."""
+        at = 0
+        while at < len(records):
+            n = min(self.size, len(records) - at)
+            whole = self._run(records, at, n, land, refuse)
+            self.size = min(BLOCK, 2 * self.size) if whole else max(2 * self.leaf, self.size // 2)
+            at += n
+
+    def _run(self, records: pa.Array, start: int, count: int, land, refuse) -> bool:
+        todo, whole = [(start, count)], True
+        while todo:
+            at, n = todo.pop()
+            if n > self.leaf:
+                values = _columnar(records.slice(at, n), self.columns)
+                if values is not None:
+                    land(at, values)
+                else:
+                    whole = False
+                    todo += [(at + n // 2, n - n // 2), (at, n // 2)]
+                continue
+            good: list[list] = []
+            first = at
+            for i in range(at, at + n):
+                reason, detail, values = diagnose(records[i].as_py(), self.columns)
+                if reason:
+                    refuse(i, reason, detail)
+                    self._land_rows(first, good, land)
+                    good, first = [], i + 1
+                else:
+                    good.append(values)
+            self._land_rows(first, good, land)
+        return whole
+
+    @staticmethod
+    def _land_rows(at: int, rows: list[list], land) -> None:
+        if rows:
+            land(at, [pa.array(v, pa.string()) for v in zip(*rows)])
 
 
 def read_records(df: DataFrame, record: str, keys: list[str], columns: tuple[Column, ...]) -> DataFrame:
@@ -181,6 +206,7 @@ def read_records(df: DataFrame, record: str, keys: list[str], columns: tuple[Col
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in keys] + [f"`{n}` string" for n in schema.names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Bisection(columns)
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK):
                 batch = whole.slice(at, BLOCK)
@@ -193,7 +219,7 @@ def read_records(df: DataFrame, record: str, keys: list[str], columns: tuple[Col
                     order.extend(range(i, i + len(values[0])))
                     pieces.append(values)
 
-                bisect(raw, columns, land, lambda *x, bad=bad: bad.append(x))
+                reader.read(raw, land, lambda *x, bad=bad: bad.append(x))
                 m = len(bad)
                 values = [pa.concat_arrays([*(p[k] for p in pieces), pa.nulls(m, pa.string())]) for k in range(len(columns))]
                 order += [i for i, _, _ in bad]
