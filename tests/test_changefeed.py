@@ -1,5 +1,6 @@
 import random
 
+from tidewright.operators import changefeed
 from tidewright.operators.changefeed import ChangeLog, apply_changes, compact, flagged_codes
 from tidewright.session import scratch
 from tidewright.sources.tables import Table
@@ -55,6 +56,16 @@ def test_empty_clashing_and_void_alone(spark, rows):
     assert rows(apply_changes(extra)) == [("A", "1", 0, 3)]
 
 
+def test_hot_entities_are_spread(spark, rows, monkeypatch):
+    changes = some(12, 600)
+    want = rows(apply_changes(frame(spark, changes)))
+    monkeypatch.setattr(changefeed, "HOT_LEAST", 1)
+    monkeypatch.setattr(changefeed, "HOT_SHARE", 3)
+    assert rows(apply_changes(frame(spark, changes))) == want == brute(changes)
+    monkeypatch.setattr(changefeed, "HOT_SHARE", 10**9)
+    assert rows(apply_changes(frame(spark, changes))) == want
+
+
 def test_flags(spark, rows):
     t = spark.createDataFrame([(" void ", True, None), ("PAID", False, False), ("x", None, None), (None, True, True), (" ", True, True)], "c string, a boolean, b boolean")
     assert rows(flagged_codes(t, "c", ["a", "b"])) == [("VOID",)]

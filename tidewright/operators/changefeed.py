@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.expr import norm_id
+from tidewright.session import cut
 from tidewright.sources.tables import Table
 
+HOT_LEAST, HOT_SHARE, SALTS = 10_000, 10_000, 64
+
 
 def compact(changes: DataFrame) -> DataFrame:
     """The deduplicated changes: repeats (same entity, row, version, ts and kind) collapse onto the smallest order number.
@@ -39,16 +42,22 @@ def apply_changes(changes: DataFrame, base: DataFrame | None = None) -> DataFram
     latest ts, then smallest ord. Rows without an entity are left out; changes without a row write none but move the entity's
     clock. An empty feed gives no rows; repeated rows count once; further columns are ignored."""
     cols = ["entity", "row", "version", "ts", "ends", "ord"]
-    images = compact(changes.select(*cols) if base is None else changes.select(*cols).unionByName(base.select(*cols)))
-    # Both sides of the join read all of the images, so that they share one exchange: hence ord in the head and no filter on row.
-    head = images.groupBy("entity").agg(F.max(F.struct("version", "ts", "ends", "ord")).alias("head"))
+    images = cut(compact(changes.select(*cols) if base is None else changes.select(*cols).unionByName(base.select(*cols))), "images")
+    head = images.groupBy("entity").agg(F.max(F.struct("version", "ts", "ends")).alias("head"), F.count("*").alias("n"))
+    # An entity with more than one in HOT_SHARE of all images is hot, so there are fewer than HOT_SHARE such entities, however large the feed.
+    # Their images are spread over SALTS tasks and their head is repeated as often.
+    limit = max(HOT_LEAST, images.count() // HOT_SHARE)
+    hot = F.col("n") > limit
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).otherwise(0)
+    salted = images.join(F.broadcast(head.filter(hot).select("entity", F.lit(True).alias("_hot"))), "entity", "left").withColumn("_salt", salt)
+    heads = head.select("entity", "head", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("_salt"))
     after = F.struct(F.lit(1).alias("sign"))
     before = F.struct(F.lit(-1).alias("sign"))
     replaced = (F.col("version") < F.col("head.version")) | F.col("head.ends")
-    signs = F.when(F.col("row").isNull(), None).when(replaced, F.array(after, before)).otherwise(F.array(after))
     return (
-        images.join(head, "entity")
-        .select("entity", "row", "version", "ord", F.inline(signs))
+        salted.filter(F.col("row").isNotNull())
+        .join(heads, ["entity", "_salt"])
+        .select("entity", "row", "version", "ord", F.inline(F.when(replaced, F.array(after, before)).otherwise(F.array(after))))
         .groupBy("entity", "row", "version", "ord")
         .agg(F.sum("sign").alias("n"))
         .filter("n > 0")
