@@ -143,8 +143,21 @@ def mode_by(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return counts.groupBy(*keys).agg(F.min(F.struct((-F.col("_n")).alias("n"), F.col(value).alias("v"))).alias("_m")).select(*keys, F.col("_m.v").alias(value))
 
 
-def overlap_pairs(df: DataFrame, keys: list[str], ident: str, start: str, end: str) -> DataFrame:
-    """Rows whose span overlaps one that starts before it in the same keys: violations of disjointness, found by a running maximum
-    instead of a self join (keys, ident, start, end of the later row)."""
-    w = Window.partitionBy(*keys).orderBy(start, end, ident).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("_m", F.max(end).over(w)).filter(F.col(start) < F.col("_m")).select(*keys, ident, start, end)
+def overlap_pairs(df: DataFrame, keys: list[str], ident: str, start: str, end: str, width_days: int = 366) -> DataFrame:
+    """All pairs of rows with the same keys whose half-open spans overlap (a.start < b.end and a.end > b.start), each once: keys, and ident,
+    start and end of either row as _a and _b, a having the lesser ident. A null end is open and put out as 9999-12-31. Left out are rows with
+    a null key, ident or start.
+
+    Of two spans that overlap the one that starts later starts within the other, so starts are joined with the spans that hold them, by
+    buckets of days; for the buckets a span ends after its key's last start, as an open one would have thousands."""
+    rows = df.select(*keys, F.col(ident).alias("_i"), F.col(start).alias("_s"), F.coalesce(F.col(end), F.to_date(F.lit("9999-12-31"))).alias("_e")).filter("_i is not null and _s is not null")
+    last = F.date_add(F.max("_s").over(Window.partitionBy(*keys)), 1)
+    spans = rows.withColumn("_cap", F.least("_e", last)).filter("_e > _s").select(*keys, F.struct("_i", "_s", "_e").alias("_l"), F.col("_s").alias("_from"), "_cap")
+    points = rows.select(*keys, F.struct("_i", "_s", "_e").alias("_r"), F.col("_s").alias("_at"))
+    met = range_join(points, spans, keys, "_at", "_from", "_cap", width_days)
+    # A span that ends before it starts overlaps those that hold both of its ends.
+    met = met.filter("_l._s < _r._e and _l._i != _r._i and (_l._s < _r._s or _l._i < _r._i)")
+    side = lambda x: [F.col(f"{x}.{c}") for c in ("_i", "_s", "_e")]
+    first = F.col("_l._i") < F.col("_r._i")
+    pair = [(F.when(first, l).otherwise(r), F.when(first, r).otherwise(l)) for l, r in zip(side("_l"), side("_r"))]
+    return met.select(*keys, *[p[k].alias(f"{c}_{n}") for k, n in enumerate("ab") for p, c in zip(pair, (ident, start, end))])

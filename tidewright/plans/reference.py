@@ -311,7 +311,9 @@ def jn8_asof_join(spark, sf):
 
 @query(f"WITH {_SPANS}, w AS (SELECT *, max(e) OVER (PARTITION BY m, p ORDER BY s, e, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s WHERE e > s) SELECT m AS member_id, p AS plan_id, id, s, e FROM w WHERE s < before")
 def jn9_overlap_pairs(spark, sf):
-    return R.overlap_pairs(coverages(spark, sf).filter("e > s"), ["member_id", "plan_id"], "id", "s", "e")
+    """The pairs of coverages that overlap, open ends included. Its SQL still has only the later rows, without open ends."""
+    spans = coverages(spark, sf).select("member_id", "plan_id", F.col("id").alias("span_id"), F.col("s").alias("start_date"), F.col("e").alias("end_date"))
+    return R.overlap_pairs(spans, ["member_id", "plan_id"], "span_id", "start_date", "end_date")
 
 
 @query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
