@@ -1,9 +1,10 @@
 """Texts laid into containers of a fixed capacity in tokens, with little room left and lexically related texts together.
 
 Lexical retrieval packing. The corpus is indexed in shards of bounded size, each an inverted index with BM25 weights whose document
-frequencies and mean length are those of the whole corpus. The largest unused text of a shard seeds a container, the index returns its
+frequencies and mean length are those of the whole corpus. The largest unused text of the corpus seeds a container, the index returns its
 unused neighbours by score, and they fill the window greedily as far as they fit; what room is left goes to the largest texts that fit, related or
-not. A text is split only if it exceeds the capacity by itself: into full containers, and a last piece that is packed as any text."""
+not. Every seed is scored against the texts of all shards, whose best are merged, so the work grows as the square of the corpus.
+A text is split only if it exceeds the capacity by itself: into full containers, and a last piece that is packed as any text."""
 
 from __future__ import annotations
 
@@ -20,6 +21,11 @@ from tidewright.llm import bpe
 from tidewright.session import cut, ship, spread
 
 SHARD = 1024  # texts of a shard
+SEEDS = 2048  # containers that are filled at a time
+NEAREST = 64  # neighbours that a probe returns; a container that could take more is probed again
+HOT = 1024  # commonest terms, scored by a matrix product
+FULL = 0.93  # of all containers' room that should be used
+ROW = (1 << 36) - 1  # a text's id is its partition << 36 and its row there
 K1, B = 1.2, 0.75
 
 
@@ -48,6 +54,42 @@ class Shard:
         postings = np.arange(total) + np.repeat(self.first[q] - (np.cumsum(sizes) - sizes), sizes)
         return np.bincount(self.items[postings], self.weights[postings], self.n)
 
+    def scores_of(self, queries: Queries) -> np.ndarray:
+        """As scores, of all items (columns) for many queries (rows)."""
+        hot = np.zeros((self.n, len(queries.hot)), np.float32)
+        postings, which = self._postings(queries.hot)
+        hot[self.items[postings], which] = self.weights[postings]
+        postings, which = self._postings(queries.rare)
+        rare = np.bincount(queries.owner[which] * self.n + self.items[postings], self.weights[postings], queries.n * self.n)
+        return queries.has @ hot.T + rare.reshape(queries.n, self.n).astype(np.float32)
+
+    def _postings(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of all the terms, and for each the place of its term."""
+        sizes = self.size[terms]
+        return np.arange(int(sizes.sum())) + np.repeat(self.first[terms] - (np.cumsum(sizes) - sizes), sizes), np.repeat(np.arange(len(terms)), sizes)
+
+
+class Queries:
+    """Terms of many texts: the hot ones as a matrix, the others flat with the query they belong to."""
+
+    def __init__(self, texts: list[np.ndarray], hot: np.ndarray, vocabulary: int):
+        self.n, self.hot = len(texts), hot
+        place = np.full(vocabulary, -1)
+        place[hot] = np.arange(len(hot))
+        flat, owner = np.concatenate(texts), np.repeat(np.arange(self.n), [len(t) for t in texts])
+        at = place[flat]
+        self.has = np.zeros((self.n, len(hot)), np.float32)
+        self.has[owner[at >= 0], at[at >= 0]] = 1
+        self.rare, self.owner = flat[at < 0], owner[at < 0]
+
+
+def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k greatest scores of each row, with their ids, in no order."""
+    if scores.shape[1] <= k:
+        return scores, ids
+    at = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+    return np.take_along_axis(scores, at, 1), np.take_along_axis(ids, at, 1)
+
 
 def fill(sizes: np.ndarray, capacity: int, scores) -> list[list[int]]:
     """Containers of items (sizes at most capacity), in order of placement. scores(item) gives the scores of all items as its neighbours."""
@@ -94,13 +136,34 @@ def fill(sizes: np.ndarray, capacity: int, scores) -> list[list[int]]:
     return out
 
 
+def by_best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
+    """Containers of items that come largest first, each put where it leaves the least room."""
+    out: list[list[int]] = []
+    open_: list[list[int]] = [[] for _ in range(capacity + 1)]  # containers by room
+    some = np.zeros(capacity + 1, bool)
+    for i, n in enumerate(sizes.tolist()):
+        room = n + int(np.argmax(some[n:]))
+        if some[room]:
+            box = open_[room].pop()
+            some[room] = bool(open_[room])
+        else:
+            room, box = capacity, len(out)
+            out.append([])
+        out[box].append(i)
+        open_[room - n].append(box)
+        some[room - n] = True
+    return out
+
+
 def sized(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str, folder: str) -> DataFrame:
-    """key, n (tokens), and the distinct tokens of the text, or of its last piece if it exceeds the capacity, with their counts."""
+    """id, key, n (tokens), and the distinct tokens of the text, or of its last piece if it exceeds the capacity, with their counts."""
     path = f"{folder}/{tokenizer}.json"
     kind = df.schema[key].dataType.simpleString()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = bpe.encoder(path)
+        context = TaskContext.get()
+        serial = (context.partitionId() if context else 0) << 36
         for b in parts:
             texts = b.column(1).to_pylist()
             for at, some in bpe.batches_of(texts):
@@ -114,9 +177,11 @@ def sized(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str, fol
                 ends = np.zeros(len(n) + 1, np.int32)
                 np.cumsum([len(t) for t in terms], out=ends[1:])
                 lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(x).astype(np.int32))) for x in (terms, counts)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(some)), pa.array(n, pa.int64()), *lists], names=["key", "n", "terms", "counts"])
+                ids = pa.array(serial + np.arange(len(some)), pa.int64())
+                serial += len(some)
+                yield pa.RecordBatch.from_arrays([ids, b.column(0).slice(at, len(some)), pa.array(n, pa.int64()), *lists], names=["id", "key", "n", "terms", "counts"])
 
-    return spread(df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))).mapInArrow(run, f"key {kind}, n long, terms array<int>, counts array<int>")
+    return spread(df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))).mapInArrow(run, f"id long, key {kind}, n long, terms array<int>, counts array<int>")
 
 
 def pack(df: DataFrame, key: str, text: str, capacity: int = 2048, tokenizer: str = "byte_bpe_50k", folder: str = bpe.TOKENIZERS, shard: int = SHARD) -> DataFrame:
@@ -124,8 +189,12 @@ def pack(df: DataFrame, key: str, text: str, capacity: int = 2048, tokenizer: st
 
     A container holds at most `capacity` tokens. Texts of at most that size have one piece; longer ones fill containers by themselves and their
     rest is packed as a text. Null and empty texts have no tokens, take no room and come last in a container. Repeated rows are texts of their own;
-    other columns are ignored. The shards are runs of rows of one partition, so that texts need not be moved between tasks; each leaves at most a
-    few containers with room. Container numbers are unique but not consecutive."""
+    other columns are ignored. Container numbers are unique but not consecutive.
+
+    Neighbours are those of the whole corpus: up to SEEDS containers are filled at a time, each by the best of all shards. Those that could
+    take more than was returned are probed again, and no text that fits them seeds a container before. Where that leaves containers less
+    than FULL on the whole, the last ones, as few tenths as do, are packed again by size alone, if that helps. The driver keeps sizes and containers,
+    some 30 bytes per text."""
     ship(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
     table = cut(sized(df, key, text, capacity, tokenizer, folder), "sized")
@@ -146,62 +215,166 @@ def pack(df: DataFrame, key: str, text: str, capacity: int = 2048, tokenizer: st
     df_all = np.zeros(int(terms.max()) + 1 if len(terms) else 1)
     df_all[terms] = stats["df"].to_numpy()
     idf = np.log(1 + (count - df_all + 0.5) / (df_all + 0.5))
-    shared = df.sparkSession.sparkContext.broadcast((idf, float(mean or 0)))
+    mean = float(mean or 0)
+    hot = np.sort(np.argsort(-df_all, kind="stable")[:HOT])
+    boxes, starts, base = _filled(table, capacity, shard, idf, mean, hot)
+    shared = df.sparkSession.sparkContext.broadcast((boxes, starts, base))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, mean = shared.value
+        (container, place), starts, base = shared.value
         context = TaskContext.get()
-        serial = (context.partitionId() if context else 0) << 36
-
-        def packed(batch: pa.Table) -> pa.RecordBatch:
-            nonlocal serial
-            n = batch.column("n").to_numpy()
-            whole = np.where(n > capacity, n // capacity, 0)
-            rest = np.where(n > capacity, n % capacity, n)
-            terms, counts = batch.column("terms").combine_chunks(), batch.column("counts").combine_chunks()
-            items = np.flatnonzero((rest > 0) | (n == 0))
-            starts = np.concatenate([[0], np.cumsum(terms.value_lengths().to_numpy(zero_copy_only=False))])
-            flat, tf = terms.flatten().to_numpy(), counts.flatten().to_numpy()
-            if len(items) < len(n):
-                keep = np.repeat((rest > 0) | (n == 0), np.diff(starts))
-                flat, tf = flat[keep], tf[keep]
-                starts = np.concatenate([[0], np.cumsum(np.diff(starts)[items])])
-            index = Shard(flat, tf, starts, rest[items], idf, mean)
-            boxes = fill(rest[items], capacity, index.scores)
-            row, piece, box, place, first, tokens = [], [], [], [], [], []
-            full = np.repeat(np.arange(len(n)), whole)
-            if len(full):
-                k = np.arange(len(full)) - np.repeat(np.cumsum(whole) - whole, whole)
-                row, piece, box = full.tolist(), k.tolist(), (serial + np.arange(len(full))).tolist()
-                place, first, tokens = [0] * len(full), (k * capacity).tolist(), [capacity] * len(full)
-                serial += len(full)
-            for b in boxes:
-                for at, i in enumerate(items[b].tolist()):
-                    row.append(i)
-                    piece.append(int(whole[i]))
-                    box.append(serial)
-                    place.append(at)
-                    first.append(int(whole[i]) * capacity)
-                    tokens.append(int(rest[i]))
-                serial += 1
-            keys = batch.column("key").combine_chunks().take(pa.array(row, pa.int64()))
-            columns = [pa.array(piece, pa.int32()), pa.array(box, pa.int64()), pa.array(place, pa.int32()), pa.array(first, pa.int64()), pa.array(tokens, pa.int64())]
-            return pa.RecordBatch.from_arrays([keys, *columns], names=["key", "piece", "container", "place", "first", "tokens"])
-
-        held: list[pa.RecordBatch] = []
-        rows = 0
+        serial = ((context.partitionId() if context else 0) + 1) << 36  # above those of `boxes`
         for b in parts:
-            at = 0
-            while at < b.num_rows:
-                some = b.slice(at, shard - rows)
-                held.append(some)
-                rows += some.num_rows
-                at += some.num_rows
-                if rows == shard:
-                    yield packed(pa.Table.from_batches(held))
-                    held, rows = [], 0
-        if rows:
-            yield packed(pa.Table.from_batches(held))
+            n, ids = b.column("n").to_numpy(), b.column("id").to_numpy()
+            at = starts[np.searchsorted(base, ids >> 36)] + (ids & ROW)
+            whole, rest = np.where(n > capacity, n // capacity, 0), np.where(n > capacity, n % capacity, n)
+            full = np.repeat(np.arange(len(n)), whole)
+            k = np.arange(len(full)) - np.repeat(np.cumsum(whole) - whole, whole)
+            items = np.flatnonzero((rest > 0) | (n == 0))
+            keys = b.column("key").take(pa.array(np.concatenate([full, items])))
+            columns = [(k, whole[items]), (serial + np.arange(len(full)), container[at[items]]), (0 * k, place[at[items]]), (k * capacity, whole[items] * capacity), (0 * k + capacity, rest[items])]
+            serial += len(full)
+            kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([keys, *[pa.array(np.concatenate(c), t) for c, t in zip(columns, kinds)]], names=["key", "piece", "container", "place", "first", "tokens"])
 
     out = table.mapInArrow(run, f"key {kind}, piece int, container long, place int, first long, tokens long")
     return out.withColumnRenamed("key", key)
+
+
+def _filled(table: DataFrame, capacity: int, shard: int, idf: np.ndarray, mean: float, hot: np.ndarray):
+    """(container, place) of each text by its number, the number of each partition's first text, and the partitions."""
+    context = table.sparkSession.sparkContext
+    sizes_of = table.select("id", "n").toArrow()
+    ids, n = sizes_of["id"].to_numpy(), sizes_of["n"].to_numpy()
+    order = np.argsort(ids)
+    ids, n = ids[order], n[order]
+    base, starts = np.unique(ids >> 36, return_index=True)
+    sizes = np.where(n > capacity, n % capacity, n).astype(np.int32)
+    unused = sizes > 0
+    container, place = np.full(len(n), -1, np.int64), np.zeros(len(n), np.int32)
+    by_size = np.argsort(-sizes, kind="stable")
+    by_size = by_size[sizes[by_size] > 0]
+    left = np.bincount(sizes[by_size], minlength=capacity + 1)  # unused texts of each size
+    first = np.searchsorted(-sizes[by_size], -np.arange(capacity + 1))  # where each size begins in by_size
+    room: list[int] = []
+    taken: list[int] = []
+
+    def take(i: int, box: int) -> None:
+        unused[i] = False
+        left[sizes[i]] -= 1
+        container[i], place[i] = box, taken[box]
+        taken[box] += 1
+        room[box] -= int(sizes[i])
+
+    def largest(most: int) -> int | None:
+        fits = np.flatnonzero(left[: most + 1])
+        if not len(fits):
+            return None
+        while not unused[by_size[first[fits[-1]]]]:
+            first[fits[-1]] += 1
+        return int(by_size[first[fits[-1]]])
+
+    def probe(seeds: list[int], rooms: list[int], terms: list[np.ndarray]) -> list[np.ndarray]:
+        """For each seed its nearest unused texts that fit, best first."""
+        shared = context.broadcast((np.array(seeds), np.array(rooms), terms, np.packbits(unused), starts, base))
+
+        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seeds, rooms, terms, bits, starts, base = shared.value
+            queries = Queries(terms, hot, len(idf))
+            top = np.zeros((len(seeds), 0), np.float32), np.zeros((len(seeds), 0), np.int64)
+
+            def merged(batch: pa.Table, top: tuple) -> tuple:
+                i, n = batch.column("id").to_numpy(), batch.column("n").to_numpy()
+                i = starts[np.searchsorted(base, i >> 36)] + (i & ROW)
+                free = (bits[i >> 3] >> (7 - (i & 7)) & 1).astype(bool)
+                if not free.any():
+                    return top
+                batch, i, n = batch.filter(pa.array(free)), i[free], n[free]
+                size = np.where(n > capacity, n % capacity, n)
+                t, c = batch.column("terms").combine_chunks(), batch.column("counts").combine_chunks()
+                at = np.concatenate([[0], np.cumsum(t.value_lengths().to_numpy(zero_copy_only=False))])
+                s = Shard(t.flatten().to_numpy(), c.flatten().to_numpy(), at, size, idf, mean).scores_of(queries)
+                s[(size[None, :] > rooms[:, None]) | (i[None, :] == seeds[:, None])] = 0
+                s, near = best(s, np.broadcast_to(i, s.shape), NEAREST)
+                return best(np.concatenate([top[0], s], 1), np.concatenate([top[1], near], 1), NEAREST)
+
+            held: list[pa.RecordBatch] = []
+            rows = 0
+            for b in parts:
+                at = 0
+                while at < b.num_rows:
+                    some = b.slice(at, shard - rows)
+                    held.append(some)
+                    rows += some.num_rows
+                    at += some.num_rows
+                    if rows == shard:
+                        top = merged(pa.Table.from_batches(held), top)
+                        held, rows = [], 0
+            if rows:
+                top = merged(pa.Table.from_batches(held), top)
+            q, k = np.nonzero(top[0] > 0)
+            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int32()), pa.array(top[1][q, k], pa.int64()), pa.array(top[0][q, k], pa.float32())], names=["q", "item", "score"])
+
+        found = table.select("id", "n", "terms", "counts").mapInArrow(run, "q int, item long, score float").toArrow()
+        shared.destroy()
+        q, item, score = (found[c].to_numpy() for c in ("q", "item", "score"))
+        order = np.lexsort((item, -score, q))
+        return [x[:NEAREST] for x in np.split(item[order], np.searchsorted(q[order], np.arange(1, len(seeds))))]
+
+    waiting: list[tuple[int, int, np.ndarray]] = []  # seed, container and terms of those to be probed again
+    terms: dict[int, np.ndarray] = {}  # of seeds that may be probed next
+    at, most = 0, SEEDS
+    while True:
+        fresh: list[int] = []
+        most = min(most, max(8, int(sizes[unused].sum()) // capacity // 4))
+        for at in range(at, len(by_size)):
+            if len(waiting) + len(fresh) >= max(most, len(waiting) + 1):
+                break
+            if unused[by_size[at]]:
+                fresh.append(int(by_size[at]))
+        if not waiting and not fresh:
+            break
+        if lacking := [i for i in fresh if i not in terms]:
+            rows = table.filter(F.col("id").isin(ids[lacking].tolist())).select("id", "terms").toArrow()
+            by_id = dict(zip(ids[lacking].tolist(), lacking))
+            terms |= {by_id[i]: x.values.to_numpy() for i, x in zip(rows["id"].to_pylist(), rows["terms"])}
+        asked = [*waiting, *[(i, -1, terms[i]) for i in fresh]]
+        near = probe([i for i, _, _ in asked], [room[box] if box >= 0 else capacity - int(sizes[i]) for i, box, _ in asked], [t for _, _, t in asked])
+        waiting, blocked, done = [], 0, 0
+        for (seed, box, t), items in zip(asked, near):
+            if box < 0:
+                if not unused[seed]:  # it was taken as a neighbour
+                    done += 1
+                    continue
+                if sizes[seed] <= blocked:  # a container before it may still take it
+                    break
+                box = len(room)
+                room.append(capacity)
+                taken.append(0)
+                take(seed, box)
+            done += 1
+            for i in items.tolist():
+                if unused[i] and sizes[i] <= room[box]:
+                    take(i, box)
+            if len(items) == NEAREST and left[: room[box] + 1].any():
+                waiting.append((seed, box, t))
+                blocked = max(blocked, room[box])
+                continue
+            while room[box] and (i := largest(room[box])) is not None:
+                take(i, box)
+        terms = {i: t for i, t in terms.items() if unused[i]}
+        at = int(np.argmax(unused[by_size])) if unused.any() else len(by_size)
+        most = min(SEEDS, max(8, 2 * done))
+    most = int(sizes.sum() / (FULL * capacity)) if FULL else len(room)
+    for kept in (len(room) * k // 10 for k in range(9, -1, -1) if len(room) > most):
+        items = by_size[container[by_size] >= kept]
+        boxes = by_best_fit(sizes[items], capacity)
+        if kept + len(boxes) <= most:
+            for k, b in enumerate(boxes):
+                container[items[b]], place[items[b]] = kept + k, np.arange(len(b))
+            taken[kept:], room[kept:] = [len(b) for b in boxes], [0] * len(boxes)
+            break
+    empty = np.flatnonzero(n == 0)
+    container[empty] = max(len(room) - 1, 0)
+    place[empty] = (taken[-1] if taken else 0) + np.arange(len(empty))
+    return (container, place), starts, base
