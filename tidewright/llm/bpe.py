@@ -24,7 +24,7 @@ TOKENIZERS = "/opt/tokenizers"  # where the tokenizer files lie; a parameter of
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The same for ASCII text.
 ASCII_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"""
-NONE = 1 << 40  # above any leaf
+NONE = 1 << 62  # above any leaf, of words of any length
 LONG = 512  # bytes from which a word is merged alone
 CACHED = 1_500_000  # characters of text that a worker's segment cache, or word cache, may hold before it is emptied
 
