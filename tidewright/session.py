@@ -56,6 +56,14 @@ def cut(df: DataFrame, name: str = "cut", **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that cut() wrote, once nothing reads them any more."""
+    for t in tables:
+        for path in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            hp = t.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            hp.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(hp, True)
+
+
 def rows_at_most(df: DataFrame, most: int) -> bool:
     return df.limit(most + 1).count() <= most
 
