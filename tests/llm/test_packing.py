@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -8,28 +9,45 @@ from tidewright.llm import bpe, packing
 
 def test_scores_against_the_formula():
     r = random.Random(1)
-    docs = [[r.randrange(30) for _ in range(r.randint(1, 40))] for _ in range(25)]
+    docs = sorted(([r.randrange(30) for _ in range(r.randint(1, 40))] for _ in range(25)), key=len)
     df = np.array([sum(t in d for d in docs) for t in range(30)], float)
     idf = np.log(1 + (25 - df + 0.5) / (df + 0.5))
     mean = np.mean([len(d) for d in docs])
     both = [np.unique(d, return_counts=True) for d in docs]
-    starts = np.concatenate([[0], np.cumsum([len(t) for t, _ in both])])
-    s = packing.Shard(np.concatenate([t for t, _ in both]), np.concatenate([c for _, c in both]), starts, np.array([len(d) for d in docs]), idf, mean)
+    sizes = np.array([len(d) for d in docs])
+    index = packing.Index(np.concatenate([t for t, _ in both]), np.concatenate([c for _, c in both]), np.array([len(t) for t, _ in both]), sizes, idf, mean)
     for q in range(25):
-        want = [sum(idf[t] * d.count(t) * (packing.K1 + 1) / (d.count(t) + packing.K1 * (1 - packing.B + packing.B * len(d) / mean)) for t in set(docs[q]) if t in d) for d in docs]
-        assert np.allclose(s.scores(q), want)
+        want = np.array([sum(idf[t] * d.count(t) * (packing.K1 + 1) / (d.count(t) + packing.K1 * (1 - packing.B + packing.B * len(d) / mean)) for t in set(docs[q]) if t in d) for d in docs])
+        assert np.allclose(index.scores(both[q][0], 25), want, rtol=1e-5)
+        assert np.allclose(index.exact(both[q][0], np.arange(25)), want, rtol=1e-5)
+        fit = int((sizes <= 20).sum())
+        near, score = index.nearest(both[q][0], 20, 5)
+        assert np.allclose(score, np.sort(want[:fit])[::-1][:5], atol=1e-3) and np.allclose(want[near], score, atol=1e-3)
 
 
-def test_fill_uses_neighbours_and_wastes_little():
+def test_matching_and_filling_up(spark):
     r = random.Random(2)
-    sizes = np.array([r.choice([0, *range(1, 900)]) for _ in range(800)])
-    topic = np.array([r.randrange(5) for _ in sizes])
-    boxes = packing.fill(sizes, 1000, lambda i: (topic == topic[i]).astype(float))
-    assert sorted(i for b in boxes for i in b) == list(range(800))
-    used = [int(sizes[b].sum()) for b in boxes]
-    assert max(used) <= 1000 and sum(used) / (1000 * len(boxes)) > 0.97
-    same = sum(topic[b[1]] == topic[b[0]] for b in boxes if len(b) > 1)
-    assert same / sum(len(b) > 1 for b in boxes) > 0.5
+    edges = [(s, s * 7, 500, i, i * 3, r.randint(50, 400), float(r.randint(1, 50))) for s in range(30) for i in range(100, 180) if r.random() < 0.2]
+    size = {i: r.randint(50, 400) for i in range(100, 180)}
+    edges = [(s, a, room, i, b, size[i], x) for s, a, room, i, b, _, x in edges]
+    df = spark.createDataFrame(edges, "seed long, sord long, room int, item long, iord long, size int, score double")
+    taken = packing.match(df, 3)[0].collect()
+    assert len({x.item for x in taken}) == len(taken)
+    room = {s: 500 for s in range(30)}
+    for x in taken:
+        room[x.seed] -= x.size
+    assert min(room.values()) >= 0
+    for i in range(100, 180):  # the best edge of all is never refused
+        if edges and max(edges, key=lambda e: (e[6], e[1]))[3] == i:
+            assert any(x.item == i for x in taken)
+    open_ = spark.createDataFrame([(s, s, 0, room[s], 1) for s in range(30)], "id long, ord long, copy long, room int, places int")
+    items = spark.createDataFrame([(i, i, 0, n) for i, n in [*size.items(), *[(500 + k, 0) for k in range(9)]]], "id long, ord long, copy long, size int")
+    laid = packing.fill_up(open_, items, 500, 1).collect()
+    assert sorted(x.id for x in laid) == sorted([*size, *range(500, 509)])
+    used = Counter()
+    for x in laid:
+        used[x.container] += size.get(x.id, 0)
+    assert all(n <= (room[c] if c < 100 else 500) for c, n in used.items())
 
 
 def test_operator(spark):
@@ -37,7 +55,7 @@ def test_operator(spark):
     texts = [None, "", "x " * 5000, *[" ".join(r.choice(["alpha", "beta", "gamma", "delta()", "9"]) for _ in range(r.randint(1, 180))) for _ in range(400)]]
     texts.append(texts[5])
     df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, place string").repartition(3)
-    got = packing.pack(df, "doc_id", "text", capacity=256, shard=100).collect()
+    got = packing.pack(df, "doc_id", "text", capacity=256, postings=2000).collect()
     t = Tokenizer.from_file(f"{bpe.TOKENIZERS}/byte_bpe_50k.json")
     n = {i: len(t.encode(x or "", add_special_tokens=False).ids) for i, x in enumerate(texts)}
     by_doc, by_box = {}, {}

@@ -1,14 +1,20 @@
 """Texts laid into containers of a fixed capacity in tokens, with little room left and lexically related texts together.
 
-Lexical retrieval packing. The corpus is indexed in shards of bounded size, each an inverted index with BM25 weights whose document
-frequencies and mean length are those of the whole corpus. The largest unused text of the corpus seeds a container, the index returns its
-unused neighbours by score, and they fill the window greedily as far as they fit; what room is left goes to the largest texts that fit, related or
-not. Every seed is scored against the texts of all shards, whose best are merged, so the work grows as the square of the corpus.
-A text is split only if it exceeds the capacity by itself: into full containers, and a last piece that is packed as any text."""
+Lexical retrieval packing. As many texts as there must be containers are the seeds, all those over half the capacity among them. A sharded inverted index with BM25 weights,
+whose statistics are those of the whole corpus, returns for each seed its nearest unused texts that fit, from all shards. A text that several
+seeds want goes to the seed it fits best, and a seed takes texts greedily, best first, while there is room; seeds that still have room are probed
+again with the texts that are still unused. What room is left then goes to the texts that fit it most closely, related or not.
+A text is split only if it exceeds the capacity by itself: into full containers, and a last piece that is packed as any text.
+
+All of it is distributed: an index shard, and a group of containers that is filled up by size, have bounded numbers of entries; the driver sees
+one number per token of the vocabulary. Order is by size, score and a hash of key and text, so the number of cores
+doesn't change which texts share a container."""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,145 +24,92 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm import bpe
-from tidewright.session import cut, ship, spread
-
-SHARD = 1024  # texts of a shard
-SEEDS = 2048  # containers that are filled at a time
-NEAREST = 64  # neighbours that a probe returns; a container that could take more is probed again
-HOT = 1024  # commonest terms, scored by a matrix product
-FULL = 0.93  # of all containers' room that should be used
-ROW = (1 << 36) - 1  # a text's id is its partition << 36 and its row there
+from tidewright.session import cut, dropped, ship, spread
+
+POSTINGS = 4_000_000  # entries of an index shard, on average
+GROUP = 32_768  # containers that are filled up together
+NEAREST = 32  # texts that a probe returns for a seed
+TERMS = 64  # of a seed, those of most weight, by which each shard chooses candidates
+CANDIDATES = 64  # of each shard, scored exactly
+PROBES, ROUNDS = 2, 3  # probes of the index; rounds of matching after each
 K1, B = 1.2, 0.75
 
 
-class Shard:
-    """Inverted index over items: for each term the items that have it, with their BM25 weights."""
+class Index:
+    """One shard: postings by term, of items in order of size, so that the items that fit a room come first in every list."""
 
-    def __init__(self, terms: np.ndarray, counts: np.ndarray, starts: np.ndarray, lengths: np.ndarray, idf: np.ndarray, mean: float):
-        """terms, counts: of all items, flat, item i's from starts[i] to starts[i + 1]."""
-        self.n, self.terms, self.starts = len(lengths), terms, starts
-        owner = np.repeat(np.arange(self.n), np.diff(starts))
+    def __init__(self, terms: np.ndarray, counts: np.ndarray, lengths: np.ndarray, sizes: np.ndarray, idf: np.ndarray, mean: float):
+        """terms, counts: of all items, flat; lengths: each item's number of terms; sizes ascend."""
+        self.n, self.sizes = len(sizes), sizes
+        self.starts = np.concatenate([[0], np.cumsum(lengths)])
+        owner = np.repeat(np.arange(self.n, dtype=np.int32), lengths)
+        tf = counts.astype(np.float64)
+        self.terms = terms
+        self.weights = (idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes / max(mean, 1e-9))[owner])).astype(np.float32)
         order = np.argsort(terms, kind="stable")
-        self.items = owner[order]
-        tf = counts[order].astype(np.float64)
-        norm = K1 * (1 - B + B * lengths / max(mean, 1e-9))
-        self.weights = idf[terms[order]] * tf * (K1 + 1) / (tf + norm[self.items])
-        at = np.searchsorted(terms[order], np.arange(len(idf) + 1))
-        self.first, self.size = at[:-1], np.diff(at)
-
-    def scores(self, item: int) -> np.ndarray:
-        """BM25 of all items for the terms of one."""
-        q = self.terms[self.starts[item] : self.starts[item + 1]]
-        sizes = self.size[q]
-        total = int(sizes.sum())
-        if not total:
-            return np.zeros(self.n)
-        postings = np.arange(total) + np.repeat(self.first[q] - (np.cumsum(sizes) - sizes), sizes)
-        return np.bincount(self.items[postings], self.weights[postings], self.n)
-
-    def scores_of(self, queries: Queries) -> np.ndarray:
-        """As scores, of all items (columns) for many queries (rows)."""
-        hot = np.zeros((self.n, len(queries.hot)), np.float32)
-        postings, which = self._postings(queries.hot)
-        hot[self.items[postings], which] = self.weights[postings]
-        postings, which = self._postings(queries.rare)
-        rare = np.bincount(queries.owner[which] * self.n + self.items[postings], self.weights[postings], queries.n * self.n)
-        return queries.has @ hot.T + rare.reshape(queries.n, self.n).astype(np.float32)
-
-    def _postings(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of all the terms, and for each the place of its term."""
-        sizes = self.size[terms]
-        return np.arange(int(sizes.sum())) + np.repeat(self.first[terms] - (np.cumsum(sizes) - sizes), sizes), np.repeat(np.arange(len(terms)), sizes)
-
-
-class Queries:
-    """Terms of many texts: the hot ones as a matrix, the others flat with the query they belong to."""
-
-    def __init__(self, texts: list[np.ndarray], hot: np.ndarray, vocabulary: int):
-        self.n, self.hot = len(texts), hot
-        place = np.full(vocabulary, -1)
-        place[hot] = np.arange(len(hot))
-        flat, owner = np.concatenate(texts), np.repeat(np.arange(self.n), [len(t) for t in texts])
-        at = place[flat]
-        self.has = np.zeros((self.n, len(hot)), np.float32)
-        self.has[owner[at >= 0], at[at >= 0]] = 1
-        self.rare, self.owner = flat[at < 0], owner[at < 0]
-
-
-def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k greatest scores of each row, with their ids, in no order."""
-    if scores.shape[1] <= k:
-        return scores, ids
-    at = np.argpartition(-scores, k - 1, axis=1)[:, :k]
-    return np.take_along_axis(scores, at, 1), np.take_along_axis(ids, at, 1)
-
-
-def fill(sizes: np.ndarray, capacity: int, scores) -> list[list[int]]:
-    """Containers of items (sizes at most capacity), in order of placement. scores(item) gives the scores of all items as its neighbours."""
-    n = len(sizes)
-    unused = np.ones(n, bool)
-    by_size = np.argsort(-sizes, kind="stable")
-    ascending = by_size[::-1]
-    sorted_sizes = sizes[ascending]
-    left = np.ones(n, bool)  # of `ascending`
-    where = np.empty(n, np.int64)
-    where[ascending] = np.arange(n)
-    out: list[list[int]] = []
-
-    def take(i: int, into: list[int]) -> int:
-        unused[i] = False
-        left[where[i]] = False
-        into.append(i)
-        return int(sizes[i])
-
-    for seed in by_size.tolist():
-        if not unused[seed]:
-            continue
-        if sizes[seed] == 0 and out:  # only empty texts are left: they need no room
-            out[-1].append(seed)
-            unused[seed] = False
-            continue
-        box: list[int] = []
-        room = capacity - take(seed, box)
-        if room and sizes[seed]:
-            s = scores(seed)
-            near = np.flatnonzero(unused & (s > 0) & (sizes > 0) & (sizes <= room))
-            near = near[np.argsort(-s[near], kind="stable")]
-            while len(near):
-                room -= take(int(near[0]), box)
-                near = near[1:]
-                near = near[sizes[near] <= room]
-        while room > 0:
-            end = int(np.searchsorted(sorted_sizes, room, "right"))
-            fits = np.flatnonzero(left[:end])
-            if not len(fits) or sizes[ascending[fits[-1]]] == 0:
-                break
-            room -= take(int(ascending[fits[-1]]), box)
-        out.append(box)
-    return out
-
-
-def by_best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
-    """Containers of items that come largest first, each put where it leaves the least room."""
-    out: list[list[int]] = []
-    open_: list[list[int]] = [[] for _ in range(capacity + 1)]  # containers by room
-    some = np.zeros(capacity + 1, bool)
-    for i, n in enumerate(sizes.tolist()):
-        room = n + int(np.argmax(some[n:]))
+        self.items, self.impacts = owner[order], self.weights[order]
+        self.at = np.searchsorted(terms[order], np.arange(len(idf) + 1))
+        self.asked = np.zeros(len(idf), np.float32)
+
+    def scores(self, terms: np.ndarray, fit: int) -> np.ndarray:
+        """BM25 of the first `fit` items for the terms."""
+        out = np.zeros(fit, np.float32)
+        for a, b in zip(self.at[terms].tolist(), self.at[terms + 1].tolist()):
+            if a < b:
+                if fit < self.n:
+                    b = a + int(np.searchsorted(self.items[a:b], fit))
+                out[self.items[a:b]] += self.impacts[a:b]
+        return out
+
+    def exact(self, terms: np.ndarray, items: np.ndarray) -> np.ndarray:
+        """BM25 of the items (ascending) for all the terms."""
+        n = self.starts[items + 1] - self.starts[items]
+        flat = np.arange(int(n.sum())) + np.repeat(self.starts[items] - (np.cumsum(n) - n), n)
+        self.asked[terms] = 1
+        out = np.bincount(np.repeat(np.arange(len(items)), n), self.weights[flat] * self.asked[self.terms[flat]].astype(np.float64), len(items))
+        self.asked[terms] = 0
+        return out
+
+    def nearest(self, terms: np.ndarray, room: int, k: int, by: int = TERMS, candidates: int = CANDIDATES) -> tuple[np.ndarray, np.ndarray]:
+        """Places and scores of the k best items that fit; `terms` come by weight, the first `by` of them choose the candidates."""
+        fit = int(np.searchsorted(self.sizes, room, "right"))
+        if not fit or not len(terms):
+            return np.zeros(0, np.int64), np.zeros(0)
+        some = self.scores(terms[:by], fit)
+        near = np.argpartition(-some, candidates - 1)[:candidates] if fit > candidates else np.arange(fit)
+        near = np.sort(near[some[near] > 0])
+        if not len(near):
+            return near, np.zeros(0)
+        score = np.round(self.exact(terms, near), 4)
+        best = np.argsort(-score, kind="stable")[:k]
+        return near[best], score[best]
+
+
+def best_fit(rooms: list[int], sizes: np.ndarray, capacity: int) -> list[int]:
+    """For each of the sizes, largest first, the number of the container where it leaves the least room. Containers 0, 1, ... have the rooms
+    given; others are opened as needed, of full capacity."""
+    open_: list[list[int]] = [[] for _ in range(capacity + 1)]
+    for box in range(len(rooms) - 1, -1, -1):
+        open_[rooms[box]].append(box)
+    some = np.array([bool(x) for x in open_])
+    out, n = [], len(rooms)
+    for size in sizes.tolist():
+        room = size + int(np.argmax(some[size:]))
         if some[room]:
             box = open_[room].pop()
             some[room] = bool(open_[room])
         else:
-            room, box = capacity, len(out)
-            out.append([])
-        out[box].append(i)
-        open_[room - n].append(box)
-        some[room - n] = True
+            room, box = capacity, n
+            n += 1
+        out.append(box)
+        open_[room - size].append(box)
+        some[room - size] = True
     return out
 
 
 def sized(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str, folder: str) -> DataFrame:
-    """id, key, n (tokens), and the distinct tokens of the text, or of its last piece if it exceeds the capacity, with their counts."""
+    """id, key, n (tokens), size (of the piece to be packed: n, or what is left after full containers), ord (a hash of key and text), copy (how
+    often a task saw that hash before), the piece's distinct tokens with their counts, and the text's tokens that the piece hasn't."""
     path = f"{folder}/{tokenizer}.json"
     kind = df.schema[key].dataType.simpleString()
 
@@ -164,217 +117,226 @@ def sized(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str, fol
         e = bpe.encoder(path)
         context = TaskContext.get()
         serial = (context.partitionId() if context else 0) << 36
+        seen: Counter = Counter()
         for b in parts:
             texts = b.column(1).to_pylist()
             for at, some in bpe.batches_of(texts):
-                terms, counts, n = [], [], []
-                for x in e.encode(some):
+                terms, counts, more, n, copies = [], [], [], [], []
+                for x, o in zip(e.encode(some), b.column(2).slice(at, len(some)).to_pylist()):
                     ids = bpe.unpacked(x)
                     n.append(len(ids))
-                    t, c = np.unique(ids[len(ids) // capacity * capacity :] if len(ids) > capacity else ids, return_counts=True)
-                    terms.append(t)
-                    counts.append(c)
-                ends = np.zeros(len(n) + 1, np.int32)
-                np.cumsum([len(t) for t in terms], out=ends[1:])
-                lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(x).astype(np.int32))) for x in (terms, counts)]
+                    piece = ids[len(ids) // capacity * capacity :] if len(ids) > capacity else ids
+                    t, c = np.unique(piece, return_counts=True)
+                    terms.append(t.astype(np.int32).tobytes())
+                    counts.append(c.astype(np.int32).tobytes())
+                    more.append(np.setdiff1d(ids, t).astype(np.int32).tobytes() if len(piece) < len(ids) else b"")
+                    copies.append(seen[o])
+                    seen[o] += 1
+                n = np.array(n, np.int64)
                 ids = pa.array(serial + np.arange(len(some)), pa.int64())
                 serial += len(some)
-                yield pa.RecordBatch.from_arrays([ids, b.column(0).slice(at, len(some)), pa.array(n, pa.int64()), *lists], names=["id", "key", "n", "terms", "counts"])
+                columns = [ids, b.column(0).slice(at, len(some)), pa.array(n), pa.array(np.where(n > capacity, n % capacity, n), pa.int32()), b.column(2).slice(at, len(some)), pa.array(copies, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, *[pa.array(x, pa.binary()) for x in (terms, counts, more)]], names=["id", "key", "n", "size", "ord", "copy", "terms", "counts", "more"])
+
+    rows = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).withColumn("ord", F.xxhash64("key", "text"))
+    return spread(rows).mapInArrow(run, f"id long, key {kind}, n long, size int, ord long, copy long, terms binary, counts binary, more binary")
 
-    return spread(df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))).mapInArrow(run, f"id long, key {kind}, n long, terms array<int>, counts array<int>")
 
+def statistics(table: DataFrame) -> tuple[np.ndarray, float]:
+    """Inverse document frequency by token and mean length, of all whole texts."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1, np.int64)
+        for b in parts:
+            c = np.bincount(np.frombuffer(b"".join(x for col in (0, 1) for x in b.column(col).to_pylist()), np.int32), minlength=len(seen))
+            c[: len(seen)] += seen
+            seen = c
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at], pa.int64())], names=["term", "df"])
+
+    # One number per token of the vocabulary, however large the corpus.
+    found = table.select("terms", "more").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    count, mean = table.agg(F.count("*"), F.avg("n")).first()
+    terms = found["term"].to_numpy()
+    df_all = np.zeros(int(terms.max()) + 1 if len(terms) else 1)
+    df_all[terms] = found["df"].to_numpy()
+    return np.log(1 + (count - df_all + 0.5) / (df_all + 0.5)), float(mean or 0)
+
+
+def nearest(seeds: DataFrame, items: DataFrame, idf: np.ndarray, mean: float, k: int = NEAREST, by: int = TERMS, candidates: int = CANDIDATES, postings: int = POSTINGS) -> DataFrame:
+    """The k best items by BM25 for each seed, of those no larger than its room: seed, sord, room, item, iord, size, score.
+
+    seeds: id, ord, room, size, terms, counts. items: id, ord, copy, size, terms, counts. Every seed meets every shard of the index; there, its
+    `by` terms of most weight choose `candidates` items, which are scored by all its terms. The rows of a shard are held by one task, the seeds
+    stream past it. Where shards are fewer than cores each is built in several tasks, which share the seeds."""
+    spark = seeds.sparkSession
+    shared = spark.sparkContext.broadcast((idf, mean))
+    total = items.agg(F.sum(F.octet_length("terms"))).first()[0] or 0
+    shards = max(1, -(-total // (4 * postings)))
+    blocks = max(1, -(-spark.sparkContext.defaultParallelism // shards))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    shard = F.pmod(F.xxhash64("ord", "copy"), F.lit(shards)).cast("int")
+    block = F.pmod(F.xxhash64("ord", F.lit(1)), F.lit(blocks)).cast("int")
+    rows = items.select("id", "ord", F.lit(0).alias("tag"), "size", "terms", "counts", shard.alias("shard"), numbers(blocks).alias("block"))
+    asked = seeds.select("id", "ord", F.lit(1).alias("tag"), F.col("room").alias("size"), "terms", "counts", numbers(shards).alias("shard"), block.alias("block"))
+    both = rows.unionByName(asked).withColumn("part", F.col("shard") * blocks + F.col("block")).drop("shard", "block")
 
-def pack(df: DataFrame, key: str, text: str, capacity: int = 2048, tokenizer: str = "byte_bpe_50k", folder: str = bpe.TOKENIZERS, shard: int = SHARD) -> DataFrame:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, mean = shared.value
+        held: list[tuple] = []
+        index = ids = ords = None
+        for b in parts:
+            tag, id_, ord_, size = (b.column(c).to_numpy() for c in ("tag", "id", "ord", "size"))
+            first = int(np.searchsorted(tag, 1))
+            terms, counts = b.column("terms").to_pylist(), b.column("counts").to_pylist()
+            if first:
+                held.append((id_[:first], ord_[:first], size[:first], terms[:first], counts[:first]))
+            if first == len(tag):
+                continue
+            if index is None:
+                ids, ords, sizes = (np.concatenate([h[c] for h in held]) if held else np.zeros(0, np.int64) for c in range(3))
+                order = np.lexsort((ids, ords, sizes))
+                flat = [[x for h in held for x in h[c]] for c in (3, 4)]
+                held = []
+                lengths = np.array([len(x) // 4 for x in flat[0]], np.int64)[order]
+                index = Index(*[np.frombuffer(b"".join(x[i] for i in order.tolist()), np.int32) for x in flat], lengths, sizes[order], idf, mean)
+                ids, ords = ids[order], ords[order]
+            out = []
+            for i in range(first, len(tag)):
+                t, c = np.frombuffer(terms[i], np.int32), np.frombuffer(counts[i], np.int32).astype(np.float64)
+                own = idf[t] * c / (c + K1 * (1 - B + B * c.sum() / max(mean, 1e-9)))
+                near, score = index.nearest(t[np.argsort(-own, kind="stable")], int(size[i]), k, by, candidates)
+                if len(near):
+                    out.append((np.full(len(near), id_[i]), np.full(len(near), ord_[i]), np.full(len(near), size[i]), ids[near], ords[near], index.sizes[near], score))
+            if out:
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(zip(*out), kinds)], names=["seed", "sord", "room", "item", "iord", "size", "score"])
+
+    found = both.repartitionById(shards * blocks, F.col("part")).sortWithinPartitions("part", "tag").select("tag", "id", "ord", "size", "terms", "counts")
+    found = found.mapInArrow(run, "seed long, sord long, room int, item long, iord long, size int, score double")
+    if shards == 1:
+        return found
+    return spark.sql(f"SELECT seed, sord, room, item, iord, size, score FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY score DESC, iord, item) AS rn FROM {{near}}) WHERE rn <= {k}", near=found)
+
+
+def match(edges: DataFrame, rounds: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Texts given to seeds: seed, item, size, score, turn; and the tables written for it. In each round every text asks the seed it fits best of
+    those that still have room for it, and each seed takes what asks it, best first, while there is room."""
+    taken, written = None, []
+    for turn in range(rounds):
+        best = edges.groupBy("item").agg(F.max(F.struct("score", "sord", "seed", "size", "room", "iord")).alias("x")).select("item", "x.*")
+        asks = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "iord", "item", "size")))  # no more than NEAREST a seed
+
+        def take(state, x):
+            more = F.struct((state.room - x["size"]).cast("int").alias("room"), F.array_append(state.got, F.struct(x["item"].alias("item"), x["size"].alias("size"), (-x["s"]).alias("score"))).alias("got"))
+            return F.when(x["size"] <= state.room, more).otherwise(state)
+
+        won = best.groupBy("seed").agg(asks.alias("asks"), F.first("room").alias("room"))
+        start = F.struct("room", F.array().cast("array<struct<item:bigint,size:int,score:double>>").alias("got"))
+        won = cut(won.select("seed", F.aggregate("asks", start, take).alias("r")).select("seed", "r.room", "r.got"), "won")
+        written.append(won)
+        pairs = won.select("seed", F.inline("got")).withColumn("turn", F.lit(turn))
+        taken = pairs if taken is None else taken.unionByName(pairs)
+        if turn + 1 < rounds:
+            room = won.select("seed", F.col("room").alias("_room"))
+            left = edges.join(pairs.select("item"), "item", "left_anti").join(room, "seed", "left")
+            left = left.withColumn("room", F.coalesce("_room", "room")).drop("_room").filter("size <= room")
+            edges = cut(left.select("seed", "sord", "room", "item", "iord", "size", "score"), "edges")
+            written.append(edges)
+    return taken, written
+
+
+def seeds_of(items: DataFrame, capacity: int) -> DataFrame:
+    """As many texts as they all fill containers: those over half the capacity, no two of which fit together, and of the others a share by hash, so that
+    copies are seldom both seeds."""
+    large = F.col("size") > capacity // 2
+    total, n, big = items.agg(F.sum("size"), F.count("*"), F.count_if(large)).first()
+    wanted = -(-(total or 0) // capacity) - big
+    if wanted <= 0:
+        return items.filter(large)
+    share = F.pmod(F.xxhash64("ord", "copy", F.lit(2)), F.lit(1 << 30)) < F.lit((wanted << 30) // (n - big))
+    return items.filter(large | share)
+
+
+def fill_up(open_: DataFrame, items: DataFrame, capacity: int, containers: int) -> DataFrame:
+    """Texts laid by size: id, container, place. open_: id (the container), ord, copy, room, places (used so far); items: id, ord, copy, size (texts without
+    tokens too, which come last). Containers and texts are dealt into groups by hash, each filled by one task."""
+    groups = max(1, -(-containers // GROUP))
+    group = F.pmod(F.xxhash64("ord", "copy", F.lit(3)), F.lit(groups)).cast("int").alias("g")
+    both = open_.select(group, F.lit(0).alias("kind"), "id", "ord", F.col("room").alias("size"), "places").unionByName(items.select(group, F.lit(1).alias("kind"), "id", "ord", "size", F.lit(0).alias("places")))
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values(["kind", "size", "ord", "id"], ascending=[True, False, True, True])
+        boxes, texts = p[p["kind"] == 0], p[p["kind"] == 1]
+        full, size = texts["size"].to_numpy() > 0, texts["size"].to_numpy()
+        box = best_fit(boxes["size"].tolist(), size[full], capacity)
+        labels, places = boxes["id"].tolist(), boxes["places"].tolist()
+        out = []
+        for i, b in zip(texts["id"].tolist(), box + [-1] * int((~full).sum())):
+            if b == len(labels) or not labels:
+                labels.append(i)
+                places.append(0)
+            out.append((i, labels[b], places[b]))
+            places[b] += 1
+        return pd.DataFrame(out, columns=["id", "container", "place"])
+
+    return both.repartitionById(groups, F.col("g")).groupBy("g").applyInPandas(run, "id long, container long, place int")
+
+
+def pack(df: DataFrame, key: str, text: str, capacity: int = 2048, tokenizer: str = "byte_bpe_50k", folder: str = bpe.TOKENIZERS, postings: int = POSTINGS) -> DataFrame:
     """One row per text or piece: key, piece (from 0), container long, place (from 0), first (its first token in the text), tokens.
 
     A container holds at most `capacity` tokens. Texts of at most that size have one piece; longer ones fill containers by themselves and their
     rest is packed as a text. Null and empty texts have no tokens, take no room and come last in a container. Repeated rows are texts of their own;
-    other columns are ignored. Container numbers are unique but not consecutive.
-
-    Neighbours are those of the whole corpus: up to SEEDS containers are filled at a time, each by the best of all shards. Those that could
-    take more than was returned are probed again, and no text that fits them seeds a container before. Where that leaves containers less
-    than FULL on the whole, the last ones, as few tenths as do, are packed again by size alone, if that helps. The driver keeps sizes and containers,
-    some 30 bytes per text."""
+    other columns are ignored. Container numbers are unique but not consecutive and may differ between runs; which texts share one doesn't."""
     ship(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
     table = cut(sized(df, key, text, capacity, tokenizer, folder), "sized")
-
-    def frequencies(parts: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        df_ = np.zeros(1, np.int64)
-        for b in parts:
-            c = np.bincount(b.column(0).flatten().to_numpy(zero_copy_only=False), minlength=len(df_))
-            c[: len(df_)] += df_
-            df_ = c
-        at = np.flatnonzero(df_)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df_[at], pa.int64())], names=["term", "df"])
-
-    # One number per token of the vocabulary, however large the corpus.
-    stats = table.select("terms").mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
-    count, mean = table.agg(F.count("*"), F.avg(F.when(F.col("n") > capacity, F.col("n") % capacity).otherwise(F.col("n")))).first()
-    terms = stats["term"].to_numpy()
-    df_all = np.zeros(int(terms.max()) + 1 if len(terms) else 1)
-    df_all[terms] = stats["df"].to_numpy()
-    idf = np.log(1 + (count - df_all + 0.5) / (df_all + 0.5))
-    mean = float(mean or 0)
-    hot = np.sort(np.argsort(-df_all, kind="stable")[:HOT])
-    boxes, starts, base = _filled(table, capacity, shard, idf, mean, hot)
-    shared = df.sparkSession.sparkContext.broadcast((boxes, starts, base))
+    idf, mean = statistics(table)
+    texts = table.filter("size > 0")
+    seeds = seeds_of(texts, capacity).select("id", "ord", "copy", "size", "terms", "counts", (F.lit(capacity) - F.col("size")).cast("int").alias("room"))
+    seeds = cut(seeds, "seeds")
+    count, containers = table.count(), seeds.count()
+    unused = texts.join(seeds.select("id"), "id", "left_anti")
+    taken, done = None, []
+    for probe in range(PROBES):
+        if taken is None:
+            asking, free = seeds, unused
+        else:
+            used = taken.groupBy(F.col("seed").alias("id")).agg(F.sum("size").alias("used"))
+            asking = seeds.join(used, "id", "left").withColumn("room", (F.col("room") - F.coalesce("used", F.lit(0))).cast("int")).drop("used")
+            free = unused.join(taken.select(F.col("item").alias("id")), "id", "left_anti")
+        edges = cut(nearest(asking.filter("room > 0"), cut(free.select("id", "ord", "copy", "size", "terms", "counts"), "free") if taken is not None else free, idf, mean, postings=postings), "edges")
+        pairs, written = match(edges, ROUNDS)
+        pairs = pairs.withColumn("turn", F.col("turn") + probe * ROUNDS)
+        taken = pairs if taken is None else taken.unionByName(pairs)
+        done += [edges, *written]
+    taken = cut(taken, "taken")
+    dropped(*done)
+    used = taken.groupBy(F.col("seed").alias("id")).agg(F.sum("size").alias("used"), F.count("*").alias("n"))
+    open_ = seeds.join(used, "id", "left").select("id", "ord", "copy", (F.col("room") - F.coalesce("used", F.lit(0))).cast("int").alias("room"), (F.coalesce("n", F.lit(0)) + 1).cast("int").alias("places"))
+    rest = table.filter("size > 0 or n = 0").join(seeds.select("id").unionByName(taken.select(F.col("item").alias("id"))), "id", "left_anti").select("id", "ord", "copy", "size")
+    laid = fill_up(open_, rest, capacity, max(containers, count // 8))
+    in_order = taken.groupBy("seed").agg(F.array_sort(F.collect_list(F.struct("turn", (-F.col("score")).alias("s"), "item"))).alias("all"))  # a container's texts
+    near = in_order.select(F.col("seed").alias("container"), F.posexplode("all").alias("p", "x")).select(F.col("x.item").alias("id"), "container", (F.col("p") + 1).alias("place"))
+    first = seeds.select("id", F.col("id").alias("container"), F.lit(0).alias("place"))
+    where = reduce(DataFrame.unionByName, [laid, near, first])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (container, place), starts, base = shared.value
         context = TaskContext.get()
-        serial = ((context.partitionId() if context else 0) + 1) << 36  # above those of `boxes`
+        serial = 1 << 62 | (context.partitionId() if context else 0) << 40  # above all ids
         for b in parts:
-            n, ids = b.column("n").to_numpy(), b.column("id").to_numpy()
-            at = starts[np.searchsorted(base, ids >> 36)] + (ids & ROW)
+            n, container, place = (b.column(c).to_numpy(zero_copy_only=False) for c in ("n", "container", "place"))
             whole, rest = np.where(n > capacity, n // capacity, 0), np.where(n > capacity, n % capacity, n)
             full = np.repeat(np.arange(len(n)), whole)
             k = np.arange(len(full)) - np.repeat(np.cumsum(whole) - whole, whole)
             items = np.flatnonzero((rest > 0) | (n == 0))
             keys = b.column("key").take(pa.array(np.concatenate([full, items])))
-            columns = [(k, whole[items]), (serial + np.arange(len(full)), container[at[items]]), (0 * k, place[at[items]]), (k * capacity, whole[items] * capacity), (0 * k + capacity, rest[items])]
+            columns = [(k, whole[items]), (serial + np.arange(len(full)), container[items]), (0 * k, place[items]), (k * capacity, whole[items] * capacity), (0 * k + capacity, rest[items])]
             serial += len(full)
             kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([keys, *[pa.array(np.concatenate(c), t) for c, t in zip(columns, kinds)]], names=["key", "piece", "container", "place", "first", "tokens"])
 
-    out = table.mapInArrow(run, f"key {kind}, piece int, container long, place int, first long, tokens long")
+    out = table.select("id", "key", "n").join(where, "id", "left").withColumns({"container": F.coalesce("container", F.lit(-1)), "place": F.coalesce("place", F.lit(0))})
+    out = out.select("key", "n", "container", "place").mapInArrow(run, f"key {kind}, piece int, container long, place int, first long, tokens long")
     return out.withColumnRenamed("key", key)
-
-
-def _filled(table: DataFrame, capacity: int, shard: int, idf: np.ndarray, mean: float, hot: np.ndarray):
-    """(container, place) of each text by its number, the number of each partition's first text, and the partitions."""
-    context = table.sparkSession.sparkContext
-    sizes_of = table.select("id", "n").toArrow()
-    ids, n = sizes_of["id"].to_numpy(), sizes_of["n"].to_numpy()
-    order = np.argsort(ids)
-    ids, n = ids[order], n[order]
-    base, starts = np.unique(ids >> 36, return_index=True)
-    sizes = np.where(n > capacity, n % capacity, n).astype(np.int32)
-    unused = sizes > 0
-    container, place = np.full(len(n), -1, np.int64), np.zeros(len(n), np.int32)
-    by_size = np.argsort(-sizes, kind="stable")
-    by_size = by_size[sizes[by_size] > 0]
-    left = np.bincount(sizes[by_size], minlength=capacity + 1)  # unused texts of each size
-    first = np.searchsorted(-sizes[by_size], -np.arange(capacity + 1))  # where each size begins in by_size
-    room: list[int] = []
-    taken: list[int] = []
-
-    def take(i: int, box: int) -> None:
-        unused[i] = False
-        left[sizes[i]] -= 1
-        container[i], place[i] = box, taken[box]
-        taken[box] += 1
-        room[box] -= int(sizes[i])
-
-    def largest(most: int) -> int | None:
-        fits = np.flatnonzero(left[: most + 1])
-        if not len(fits):
-            return None
-        while not unused[by_size[first[fits[-1]]]]:
-            first[fits[-1]] += 1
-        return int(by_size[first[fits[-1]]])
-
-    def probe(seeds: list[int], rooms: list[int], terms: list[np.ndarray]) -> list[np.ndarray]:
-        """For each seed its nearest unused texts that fit, best first."""
-        shared = context.broadcast((np.array(seeds), np.array(rooms), terms, np.packbits(unused), starts, base))
-
-        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seeds, rooms, terms, bits, starts, base = shared.value
-            queries = Queries(terms, hot, len(idf))
-            top = np.zeros((len(seeds), 0), np.float32), np.zeros((len(seeds), 0), np.int64)
-
-            def merged(batch: pa.Table, top: tuple) -> tuple:
-                i, n = batch.column("id").to_numpy(), batch.column("n").to_numpy()
-                i = starts[np.searchsorted(base, i >> 36)] + (i & ROW)
-                free = (bits[i >> 3] >> (7 - (i & 7)) & 1).astype(bool)
-                if not free.any():
-                    return top
-                batch, i, n = batch.filter(pa.array(free)), i[free], n[free]
-                size = np.where(n > capacity, n % capacity, n)
-                t, c = batch.column("terms").combine_chunks(), batch.column("counts").combine_chunks()
-                at = np.concatenate([[0], np.cumsum(t.value_lengths().to_numpy(zero_copy_only=False))])
-                s = Shard(t.flatten().to_numpy(), c.flatten().to_numpy(), at, size, idf, mean).scores_of(queries)
-                s[(size[None, :] > rooms[:, None]) | (i[None, :] == seeds[:, None])] = 0
-                s, near = best(s, np.broadcast_to(i, s.shape), NEAREST)
-                return best(np.concatenate([top[0], s], 1), np.concatenate([top[1], near], 1), NEAREST)
-
-            held: list[pa.RecordBatch] = []
-            rows = 0
-            for b in parts:
-                at = 0
-                while at < b.num_rows:
-                    some = b.slice(at, shard - rows)
-                    held.append(some)
-                    rows += some.num_rows
-                    at += some.num_rows
-                    if rows == shard:
-                        top = merged(pa.Table.from_batches(held), top)
-                        held, rows = [], 0
-            if rows:
-                top = merged(pa.Table.from_batches(held), top)
-            q, k = np.nonzero(top[0] > 0)
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int32()), pa.array(top[1][q, k], pa.int64()), pa.array(top[0][q, k], pa.float32())], names=["q", "item", "score"])
-
-        found = table.select("id", "n", "terms", "counts").mapInArrow(run, "q int, item long, score float").toArrow()
-        shared.destroy()
-        q, item, score = (found[c].to_numpy() for c in ("q", "item", "score"))
-        order = np.lexsort((item, -score, q))
-        return [x[:NEAREST] for x in np.split(item[order], np.searchsorted(q[order], np.arange(1, len(seeds))))]
-
-    waiting: list[tuple[int, int, np.ndarray]] = []  # seed, container and terms of those to be probed again
-    terms: dict[int, np.ndarray] = {}  # of seeds that may be probed next
-    at, most = 0, SEEDS
-    while True:
-        fresh: list[int] = []
-        most = min(most, max(8, int(sizes[unused].sum()) // capacity // 4))
-        for at in range(at, len(by_size)):
-            if len(waiting) + len(fresh) >= max(most, len(waiting) + 1):
-                break
-            if unused[by_size[at]]:
-                fresh.append(int(by_size[at]))
-        if not waiting and not fresh:
-            break
-        if lacking := [i for i in fresh if i not in terms]:
-            rows = table.filter(F.col("id").isin(ids[lacking].tolist())).select("id", "terms").toArrow()
-            by_id = dict(zip(ids[lacking].tolist(), lacking))
-            terms |= {by_id[i]: x.values.to_numpy() for i, x in zip(rows["id"].to_pylist(), rows["terms"])}
-        asked = [*waiting, *[(i, -1, terms[i]) for i in fresh]]
-        near = probe([i for i, _, _ in asked], [room[box] if box >= 0 else capacity - int(sizes[i]) for i, box, _ in asked], [t for _, _, t in asked])
-        waiting, blocked, done = [], 0, 0
-        for (seed, box, t), items in zip(asked, near):
-            if box < 0:
-                if not unused[seed]:  # it was taken as a neighbour
-                    done += 1
-                    continue
-                if sizes[seed] <= blocked:  # a container before it may still take it
-                    break
-                box = len(room)
-                room.append(capacity)
-                taken.append(0)
-                take(seed, box)
-            done += 1
-            for i in items.tolist():
-                if unused[i] and sizes[i] <= room[box]:
-                    take(i, box)
-            if len(items) == NEAREST and left[: room[box] + 1].any():
-                waiting.append((seed, box, t))
-                blocked = max(blocked, room[box])
-                continue
-            while room[box] and (i := largest(room[box])) is not None:
-                take(i, box)
-        terms = {i: t for i, t in terms.items() if unused[i]}
-        at = int(np.argmax(unused[by_size])) if unused.any() else len(by_size)
-        most = min(SEEDS, max(8, 2 * done))
-    most = int(sizes.sum() / (FULL * capacity)) if FULL else len(room)
-    for kept in (len(room) * k // 10 for k in range(9, -1, -1) if len(room) > most):
-        items = by_size[container[by_size] >= kept]
-        boxes = by_best_fit(sizes[items], capacity)
-        if kept + len(boxes) <= most:
-            for k, b in enumerate(boxes):
-                container[items[b]], place[items[b]] = kept + k, np.arange(len(b))
-            taken[kept:], room[kept:] = [len(b) for b in boxes], [0] * len(boxes)
-            break
-    empty = np.flatnonzero(n == 0)
-    container[empty] = max(len(room) - 1, 0)
-    place[empty] = (taken[-1] if taken else 0) + np.arange(len(empty))
-    return (container, place), starts, base

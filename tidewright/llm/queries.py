@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewright.llm import bpe, mojibake, packing
+from tidewright.session import cut
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -19,6 +21,20 @@ def p9_packed(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(documents(spark, sf), "doc_id", "text")
 
 
+def p9_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of the containers: every text whole and once, none over the capacity, places without holes, little room left (the fullness of
+    all but what the last containers of a group may lack)."""
+    packed = cut(p9_packed(spark, sf), "packed")
+    boxes = packed.groupBy("container").agg(F.sum("tokens").alias("t"), F.count("*").alias("n"), F.count_distinct("place").alias("p"), F.max("place").alias("m"))
+    texts = packed.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("piece").alias("m"), F.sum("tokens").alias("t"), F.max(F.col("first") + F.col("tokens")).alias("to"))
+    a = boxes.agg(F.count_if(F.expr("t > 2048")).alias("over_capacity"), F.count_if(F.expr("n <> p or n <> m + 1")).alias("with_holes"), (F.sum("t") > F.lit(0.98 * 2048) * F.count("*")).alias("is_full"))
+    b = texts.agg(F.count("*").alias("texts"), F.count_if(F.expr("n <> m + 1 or t <> to")).alias("torn"))
+    return b.crossJoin(a).select("texts", "torn", "over_capacity", "with_holes", "is_full")  # one row each
+
+
+P9_INVARIANTS_SQL = "SELECT count(DISTINCT doc_id) AS texts, 0::BIGINT AS torn, 0::BIGINT AS over_capacity, 0::BIGINT AS with_holes, true AS is_full FROM documents"
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return mojibake.repair(documents(spark, sf), "doc_id", "text", "source", with_text=False).select("doc_id")
 
@@ -27,5 +43,5 @@ def p10_repaired(spark: SparkSession, sf: str) -> DataFrame:
     return mojibake.repair(documents(spark, sf), "doc_id", "text", "source")
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found, "p10_repaired": p10_repaired}
-SQL: dict[str, str] = {}
+QUERIES = {"p8_ids": p8_ids, "p9_packed": p9_packed, "p9_invariants": p9_invariants, "p10_found": p10_found, "p10_repaired": p10_repaired}
+SQL: dict[str, str] = {"p9_invariants": P9_INVARIANTS_SQL}
