@@ -1,8 +1,10 @@
 import csv
 import io
+import os
 import random
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tidewright.operators import malformed as m
@@ -37,9 +39,29 @@ def test_blocks_agree_with_the_strict_parser():
     for size in (1, 7, 50, 600):
         records = [r.choice(CASES)[0] if r.random() < 0.2 else GOOD for _ in range(size)]
         got: dict[int, tuple] = {}
-        m.Bisection(CLAIM_EXTRACT).read(pa.array(records, pa.string()), lambda at, v: got.update({at + i: (None, [c[i].as_py() for c in v]) for i in range(len(v[0]))}), lambda i, reason, _: got.update({i: (reason, None)}))
+        b = m.Bisection(CLAIM_EXTRACT)
+        b.read(pa.array(records, pa.string()), lambda at, v: got.update({int(k): (None, [c[i].as_py() for c in v]) for i, k in enumerate(at)}), lambda i, reason, _: got.update({i: (reason, None)}))
         want = {i: (d[0], d[2]) for i, d in enumerate(m.diagnose(x, CLAIM_EXTRACT) for x in records)}
         assert got == want
+        good = sum(x is None for x, _ in want.values())
+        assert b.bulk == good and b.strict == size - good  # every good record lands in bulk
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1"), reason="no test data here")
+def test_good_records_land_in_bulk():
+    records = pq.read_table("/root/testdata/sf0.1/raw_claim_record.parquet")["raw_text"].combine_chunks()
+    b, bad = m.Bisection(CLAIM_EXTRACT), []
+    for at in range(0, len(records), m.BLOCK):
+        b.read(records.slice(at, m.BLOCK), lambda *_: None, lambda *x: bad.append(x))
+    assert b.bulk >= 0.95 * (len(records) - len(bad)) and b.bulk + b.strict == len(records)
+
+
+def test_times_as_the_strict_parser_reads_them():
+    r = random.Random(4)
+    texts = ["%04d-%02d-%02d%s%02d:%02d:%02d" % (r.choice([0, 1, 1900, 2000, 2023, 2024, 9999]), r.randint(0, 13), r.randint(0, 32), r.choice("T "), r.randint(0, 25), r.randint(0, 61), r.randint(0, 61)) for _ in range(3000)]
+    texts += ["%04d-%02d-%02d 00:00:00" % (y, mo, d) for y in (1900, 2000, 2023, 2024) for mo in range(1, 13) for d in (28, 29, 30, 31)]
+    column = m.Column("x", timestamp=True)
+    assert m._whole_times(pa.array(texts)).tolist() == [m.fits(column, x) for x in texts]
 
 
 def test_fields_as_a_csv_reader_reads_them():

@@ -1,7 +1,7 @@
 """Delimited records split into rows that can land and rows to quarantine, with the reason.
 
-Blocks of records are parsed in bulk by a columnar CSV reader and checked by columnar casts and patterns. A block in which anything
-is wrong is halved until the bad records stand alone; only those are read by the strict parser, which says what is wrong."""
+Blocks of records are parsed in bulk by a columnar CSV reader and checked by columnar masks. A block that the reader refuses is halved until the
+records it can't read stand alone; only bad records are read by the strict parser, which says what is wrong."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import datetime
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as pacsv
@@ -19,6 +20,7 @@ from tidewright.session import ship, spread
 
 BLOCK = 4096
 BLANKS = " \t\r\n"
+NULLS = pa.array(["", "NULL", "null"])
 #: A record: fields free of quotes, or quoted whole with inner quotes doubled.
 WELL_QUOTED = r'\A(?s:[^",]*|"(?:[^"]|"")*")(?:,(?s:[^",]*|"(?:[^"]|"")*"))*\z'
 TIMESTAMP = r"\A(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(?:\.\d{1,6})?(?:Z|[+-](?:0\d|1[0-4]):[0-5]\d)?\z"
@@ -104,95 +106,123 @@ def diagnose(record: str | None, columns: tuple[Column, ...]) -> tuple[str | Non
     return ("INVALID_VALUE", ", ".join(wrong), None) if wrong else (None, None, values)
 
 
-def _columnar(records: pa.Array, columns: tuple[Column, ...]) -> list[pa.Array] | None:
-    """The values of a block in which every record can land; None if any can't."""
+def _sorted_out(records: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the records with `width` fields that have no quotes, of those whose quotes stand as they must, and of all others."""
+    mask = lambda x: pc.fill_null(x, False).to_numpy(zero_copy_only=False)
+    quoted = mask(pc.match_substring(records, '"'))
+    plain = ~quoted & mask(pc.equal(pc.count_substring(records, ","), width - 1))
+    at = well = np.flatnonzero(quoted)
+    if len(at):
+        some = records.take(pa.array(at))
+        bare = pc.replace_substring_regex(some, r'"(?:[^"]|"")*"', "")  # where quotes stand right, the commas that are left separate fields
+        well = at[mask(pc.match_substring_regex(some, WELL_QUOTED)) & mask(pc.equal(pc.count_substring(bare, ","), width - 1))]
+    apart = ~plain
+    apart[well] = False
+    return np.flatnonzero(plain), well, np.flatnonzero(apart)
+
+
+def _split(records: pa.Array, width: int) -> list[pa.Array]:
+    """The fields, by column, of records without quotes."""
+    flat = pc.split_pattern(records, ",").flatten()
+    return [flat.take(pa.array(np.arange(k, len(flat), width))) for k in range(width)]
+
+
+def _parsed(records: pa.Array, width: int) -> list[pa.Array] | None:
+    """The fields of a block by column; None if the reader refuses the block or sees other records in it."""
     n = len(records)
-    if records.null_count:
-        return None
-    quoted = records.filter(pc.match_substring(records, '"'))
-    if len(quoted) and not pc.all(pc.match_substring_regex(quoted, WELL_QUOTED)).as_py():
-        return None
-    index = pa.array(range(n)).cast(pa.string())  # leads each record, and proves that the reader saw the same records
-    body = "\n".join(pc.binary_join_element_wise(index, records, ",").to_pylist())
-    names = [str(i) for i in range(len(columns) + 1)]
+    index = pa.array(np.arange(n)).cast(pa.string())  # leads each record, and proves that the reader saw the same records
+    body = "\n".join(pc.binary_join_element_wise(index, records, ",").to_pylist()).encode()
+    names = [str(i) for i in range(width + 1)]
     try:
         table = pacsv.read_csv(
-            pa.py_buffer(body.encode()),
-            read_options=pacsv.ReadOptions(column_names=names, use_threads=False, block_size=len(body) * 4 + 1024),
+            pa.py_buffer(body),
+            read_options=pacsv.ReadOptions(column_names=names, use_threads=False, block_size=len(body) + 1024),
             parse_options=pacsv.ParseOptions(newlines_in_values=True, ignore_empty_lines=False),
             convert_options=pacsv.ConvertOptions(column_types={x: pa.string() for x in names}, strings_can_be_null=False),
         )
     except pa.ArrowInvalid:
         return None
-    if table.num_rows != n or not table.column(0).combine_chunks().equals(index):
-        return None
-    out = []
-    for k, c in enumerate(columns):
-        v = pc.utf8_trim(table.column(k + 1).combine_chunks(), BLANKS)
-        v = pc.if_else(pc.is_in(v, pa.array(["", "NULL", "null"])), pa.scalar(None, pa.string()), v)
-        there = v.drop_null()
-        if (c.required or c.values) and v.null_count:
-            return None
-        if c.values and not pc.all(pc.is_in(there, pa.array(c.values)), min_count=0).as_py():
-            return None
-        if c.pattern and not pc.all(pc.match_substring_regex(there, rf"\A(?:{c.pattern})\z"), min_count=0).as_py():
-            return None
-        if c.timestamp and len(there):
-            if not pc.all(pc.match_substring_regex(there, TIMESTAMP)).as_py() or pc.any(pc.starts_with(there, "0000")).as_py():
-                return None
-            try:
-                pc.utf8_slice_codeunits(there, 0, 19).cast(pa.timestamp("s"))  # refuses days and times that don't exist
-            except pa.ArrowInvalid:
-                return None
+    columns = [c.combine_chunks() for c in table.columns]
+    return columns[1:] if table.num_rows == n and columns[0].equals(index) else None
+
+
+def _whole_times(values: pa.Array) -> np.ndarray:
+    """Which texts are an existing date and time in the form of TIMESTAMP; false for nulls."""
+    good = pc.fill_null(pc.match_substring_regex(values, TIMESTAMP), False)
+    shown = pc.if_else(good, values, pa.scalar("2000-01-01 00:00:00"))
+    part = lambda a, b: pc.utf8_slice_codeunits(shown, a, b).cast(pa.int32()).to_numpy()
+    year, month, day = part(0, 4), part(5, 7), part(8, 10)
+    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+    days = np.array([0, 31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31])[np.where(month <= 12, month, 0)] + (leap & (month == 2))
+    return good.to_numpy(zero_copy_only=False) & (year > 0) & (day > 0) & (day <= days) & (part(11, 13) < 24) & (part(14, 16) < 60) & (part(17, 19) < 60)
+
+
+def _valued(fields: list[pa.Array], columns: tuple[Column, ...]) -> tuple[list[pa.Array], np.ndarray]:
+    """The values of parsed records, and which records have nothing but values that fit."""
+    out, fit = [], np.ones(len(fields[0]), bool)
+    for f, c in zip(fields, columns):
+        v = pc.utf8_trim(f, BLANKS)
+        null = pc.is_in(v, NULLS)
+        v = pc.if_else(null, pa.scalar(None, pa.string()), v)
+        absent = null.to_numpy(zero_copy_only=False)
+        if c.required or c.values:
+            fit &= ~absent
+        mask = lambda x: pc.fill_null(x, False).to_numpy(zero_copy_only=False)
+        if c.values:
+            fit &= mask(pc.is_in(v, pa.array(c.values)))
+        if c.pattern:
+            fit &= absent | mask(pc.match_substring_regex(v, rf"\A(?:{c.pattern})\z"))
+        if c.timestamp:
+            fit &= absent | _whole_times(v)
         out.append(v)
-    return out
+    return out, fit
 
 
 class Bisection:
-    """Reads runs of records. A run starts with as many records as it seems to pay: twice the last that could land whole, half the last that
-    couldn't, so that where bad records are frequent no large block is parsed in vain."""
-
-    def __init__(self, columns: tuple[Column, ...], leaf: int = 16):
-        self.columns, self.leaf, self.size = columns, leaf, BLOCK
-
-    def read(self, records: pa.Array, land: Callable[[int, list[pa.Array]], None], refuse: Callable[[int, str, str], None]) -> None:
-        """Calls land for runs of records that can land (offset, values by column) and refuse for each that can't (offset, reason, detail)."""
-        at = 0
-        while at < len(records):
-            n = min(self.size, len(records) - at)
-            whole = self._run(records, at, n, land, refuse)
-            self.size = min(BLOCK, 2 * self.size) if whole else max(2 * self.leaf, self.size // 2)
-            at += n
-
-    def _run(self, records: pa.Array, start: int, count: int, land, refuse) -> bool:
-        todo, whole = [(start, count)], True
+    """Reads blocks of records. Those whose quotes or commas can't be right are set apart by masks; the others are parsed in bulk, those without
+    quotes by splitting, those with quotes by the CSV reader. A block that it refuses is halved until the records that it refuses stand
+    alone. All that don't land are read by the strict parser, which says why.
+
+    bulk and strict count the records that landed by the columnar path and those that the strict parser saw."""
+
+    def __init__(self, columns: tuple[Column, ...]):
+        self.columns, self.bulk, self.strict = columns, 0, 0
+
+    def read(self, records: pa.Array, land: Callable[[np.ndarray, list[pa.Array]], None], refuse: Callable[[int, str, str], None]) -> None:
+        """Calls land for records that can land (their places, values by column) and refuse for each that can't (place, reason, detail)."""
+        width = len(self.columns)
+        plain, todo, apart = _sorted_out(records, width)
+        apart, todo = [apart], [todo]
+
+        def check(at: np.ndarray, fields: list[pa.Array]) -> None:
+            values, fit = _valued(fields, self.columns)
+            if not fit.all():
+                apart.append(at[~fit])
+                keep = pa.array(np.flatnonzero(fit))
+                values, at = [v.take(keep) for v in values], at[fit]
+            self.bulk += len(at)
+            land(at, values)
+
+        if len(plain):
+            check(plain, _split(records.take(pa.array(plain)), width))
         while todo:
-            at, n = todo.pop()
-            if n > self.leaf:
-                values = _columnar(records.slice(at, n), self.columns)
-                if values is not None:
-                    land(at, values)
-                else:
-                    whole = False
-                    todo += [(at + n // 2, n - n // 2), (at, n // 2)]
+            at = todo.pop()
+            if not len(at):
                 continue
-            good: list[list] = []
-            first = at
-            for i in range(at, at + n):
-                reason, detail, values = diagnose(records[i].as_py(), self.columns)
-                if reason:
-                    refuse(i, reason, detail)
-                    self._land_rows(first, good, land)
-                    good, first = [], i + 1
-                else:
-                    good.append(values)
-            self._land_rows(first, good, land)
-        return whole
-
-    @staticmethod
-    def _land_rows(at: int, rows: list[list], land) -> None:
-        if rows:
-            land(at, [pa.array(v, pa.string()) for v in zip(*rows)])
+            fields = _parsed(records.take(pa.array(at)), width)
+            if fields is not None:
+                check(at, fields)
+            elif len(at) > 1:
+                todo += [at[len(at) // 2 :], at[: len(at) // 2]]
+            else:
+                apart.append(at)
+        for i in np.sort(np.concatenate(apart)).tolist():
+            self.strict += 1
+            reason, detail, values = diagnose(records[i].as_py(), self.columns)
+            if reason:
+                refuse(i, reason, detail)
+            else:  # the strict parser has the last word
+                land(np.array([i]), [pa.array([v], pa.string()) for v in values])
 
 
 def read_records(df: DataFrame, record: str, keys: list[str], columns: tuple[Column, ...]) -> DataFrame:
@@ -215,8 +245,8 @@ def read_records(df: DataFrame, record: str, keys: list[str], columns: tuple[Col
                 pieces: list[list[pa.Array]] = []
                 bad: list[tuple[int, str, str]] = []
 
-                def land(i: int, values: list[pa.Array], order=order, pieces=pieces) -> None:
-                    order.extend(range(i, i + len(values[0])))
+                def land(at: np.ndarray, values: list[pa.Array], order=order, pieces=pieces) -> None:
+                    order.extend(at.tolist())
                     pieces.append(values)
 
                 reader.read(raw, land, lambda *x, bad=bad: bad.append(x))
