@@ -1,14 +1,16 @@
 """Versioned Parquet tables: overwrite, append and upsert with an atomic swap; watermarks; reprocessing.
 
-A table is a folder of versions and a CURRENT file that names one. A write makes a new version and then replaces CURRENT by one rename, so a
-reader sees a table before or after a write, and a write that dies leaves the table as it was."""
+A table is a folder of Parquet files and a CURRENT file that lists those that count. A write adds files and then replaces CURRENT by one rename, so a
+reader sees a table before or after a write, and a write that dies leaves the table as it was. An append writes only its own rows; an upsert
+rewrites only the files that hold a key it replaces."""
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,70 +18,111 @@ class DuplicateKeys(ValueError):
     """The source of an upsert has a key twice."""
 
 
+class Conflict(RuntimeError):
+    """Another writer has replaced the state that a write began with."""
+
+
 @dataclass(frozen=True)
 class WriteStats:
     version: str
-    rows: int
+    rows: int  # written, those carried over from rewritten files included
 
 
-class Table:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+class Pointer:
+    """A small JSON file that is read whole and replaced by one rename."""
+
+    def __init__(self, spark: SparkSession, folder: str, name: str):
+        self.spark, self.folder, self.name = spark, folder, name
         self._hp = spark._jvm.org.apache.hadoop.fs.Path
         self._conf = spark._jsc.hadoopConfiguration()
-        self._fs = self._hp(self.path).getFileSystem(self._conf)
+        self._fs = self._hp(folder).getFileSystem(self._conf)
 
-    def version(self) -> str | None:
-        p = self._hp(f"{self.path}/CURRENT")
+    def get(self) -> dict | None:
+        p = self._hp(f"{self.folder}/{self.name}")
         if not self._fs.exists(p):
             return None
         stream = self._fs.open(p)
         try:
-            return bytes(stream.readAllBytes()).decode()
+            return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
-    def read(self) -> DataFrame | None:
-        v = self.version()
-        return None if v is None else self.spark.read.parquet(f"{self.path}/{v}")
-
-    def _publish(self, version: str) -> None:
-        tmp = self._hp(f"{self.path}/CURRENT.{uuid.uuid4().hex}")
+    def set(self, value: dict, instead_of: dict | None) -> None:
+        """Replaces the file, which must still hold what the writer began with. Writers are expected to take turns: the test finds one that
+        didn't, but two renames within moments of each other can both pass it."""
+        if self.get() != instead_of:
+            raise Conflict(f"{self.folder}/{self.name} has changed")
+        tmp = self._hp(f"{self.folder}/{self.name}.{uuid.uuid4().hex}")
         out = self._fs.create(tmp, True)
-        out.write(bytearray(version.encode()))
+        out.write(bytearray(json.dumps(value).encode()))
         out.close()
         jvm = self.spark._jvm
         option = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
         option[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        jvm.org.apache.hadoop.fs.FileContext.getFileContext(tmp.toUri(), self._conf).rename(tmp, self._hp(f"{self.path}/CURRENT"), option)
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(tmp.toUri(), self._conf).rename(tmp, self._hp(f"{self.folder}/{self.name}"), option)
+
+
+class Table:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.pointer = Pointer(spark, self.path, "CURRENT")
+
+    def version(self) -> str | None:
+        now = self.pointer.get()
+        return now and now["version"]
+
+    def read(self) -> DataFrame | None:
+        now = self.pointer.get()
+        return None if now is None else self._frame(now["files"])
+
+    def _frame(self, files: list[str]) -> DataFrame:
+        return self.spark.read.option("mergeSchema", len({f.rsplit("/", 1)[0] for f in files}) > 1).parquet(*files)
+
+    def _written(self, df: DataFrame) -> tuple[str, list[str], int]:
+        """A new version's name, files and number of rows."""
+        version, seen = f"v-{uuid.uuid4().hex}", Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.path}/{version}")
+        found = self.pointer._fs.listStatus(self.pointer._hp(f"{self.path}/{version}"))
+        return version, sorted(str(f.getPath()) for f in found if f.getPath().getName().endswith(".parquet")), seen.get["n"]
 
     def overwrite(self, df: DataFrame) -> WriteStats:
-        version = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{version}")
-        self._publish(version)
-        return WriteStats(version, self.spark.read.parquet(f"{self.path}/{version}").count())
+        before = self.pointer.get()
+        version, files, n = self._written(df)
+        self.pointer.set({"version": version, "files": files}, before)
+        return WriteStats(version, n)
 
     def append(self, df: DataFrame) -> WriteStats:
-        old = self.read()
-        return self.overwrite(df if old is None else old.unionByName(df, allowMissingColumns=True))
+        before = self.pointer.get()
+        version, files, n = self._written(df)
+        self.pointer.set({"version": version, "files": [*(before["files"] if before else []), *files]}, before)
+        return WriteStats(version, n)
 
     def upsert(self, df: DataFrame, keys: list[str]) -> WriteStats:
         """Rows whose key exists are replaced whole, others added; columns that are new in either side are null in the other's rows.
-        A key that comes twice is an error, as two rows can't both replace one. The source is read once into the new version's stage."""
+        A key that comes twice is an error, as two rows can't both replace one. The source is written once, to a stage that is deleted after."""
+        before = self.pointer.get()
         stage = f"{self.path}/stage-{uuid.uuid4().hex}"
         df.write.parquet(stage)
         source = self.spark.read.parquet(stage)
-        if not source.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
-            raise DuplicateKeys(", ".join(keys))
-        old = self.read()
-        if old is None:
-            return self.overwrite(source)
-        same = None
-        for k in keys:
-            x = old[k].eqNullSafe(source[k])
-            same = x if same is None else same & x
-        kept = old.join(source.select(*keys), same, "left_anti")
-        return self.overwrite(kept.unionByName(source, allowMissingColumns=True))
+        try:
+            if not source.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+                raise DuplicateKeys(", ".join(keys))
+            if before is None:
+                return self.overwrite(source)
+            same = lambda old: [old[k].eqNullSafe(source[k]) for k in keys]
+            old = self._frame(before["files"]).select(*keys, F.col("_metadata.file_path").alias("_file"))
+            touched = {r[0] for r in old.join(source.select(*keys), same(old), "left_semi").select("_file").distinct().collect()}  # names of files
+            bare = lambda f: f.split(":", 1)[-1].lstrip("/")
+            rewritten = [f for f in before["files"] if bare(f) in {bare(t) for t in touched}]
+            new = source
+            if rewritten:
+                old = self._frame(rewritten)
+                new = old.join(source.select(*keys), same(old), "left_anti").unionByName(source, allowMissingColumns=True)
+            version, files, n = self._written(new)
+            self.pointer.set({"version": version, "files": [*[f for f in before["files"] if f not in rewritten], *files]}, before)
+            return WriteStats(version, n)
+        finally:
+            self.pointer._fs.delete(self.pointer._hp(stage), True)
 
 
 def reconcile(df: DataFrame, schema, how: str) -> DataFrame:
