@@ -13,6 +13,7 @@ from tidewright.session import cut
 
 LOW = "abcdefghijklmnop"
 SF = "/root/testdata/sf0.1"
+KINDS = packing.kinds(2048, "byte_bpe_50k", bpe.TOKENIZERS)
 
 
 def test_copies_far_apart_share_a_container(spark):
@@ -42,12 +43,12 @@ def test_recall_against_exact_scores(spark):
     """Of the ten best texts by exact BM25 over all texts that aren't seeds, for 200 seeds of the 10,000 documents, at least 0.9 are returned,
     from an index of one shard and of several."""
     table = cut(packing.sized(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", "text", 2048, "byte_bpe_50k", bpe.TOKENIZERS), "sized")
-    idf, mean = packing.statistics(table)
+    idf, mean = packing.statistics(table, KINDS[0])
     texts = table.filter("size > 0")
     seeds = packing.seeds_of(texts, 2048).withColumn("room", (F.lit(2048) - F.col("size")).cast("int"))
     some = cut(seeds.filter("room > 50").orderBy("ord").limit(200))
     items = cut(texts.join(seeds.select("id"), "id", "left_anti"))
-    number = lambda x: np.frombuffer(x, np.int32)
+    number = lambda x: np.frombuffer(x, "<u2").astype(int)
     rows = [(x.id, x.ord, x.size, number(x.terms), number(x.counts)) for x in items.select("id", "ord", "size", "terms", "counts").collect()]
     place = {x[0]: i for i, x in enumerate(rows)}
     want = {}
@@ -57,7 +58,7 @@ def test_recall_against_exact_scores(spark):
         want[x.id] = (scores, np.sort(scores)[-best] if best else 0, best)
     for postings in (packing.POSTINGS, 250_000):
         hits = Counter()
-        for e in packing.nearest(some, items, idf, mean, postings=postings).collect():
+        for e in packing.nearest(some, items, idf, mean, KINDS, postings=postings).collect():
             scores, least, _ = want[e.seed]
             assert abs(scores[place[e.item]] - e.score) < 1e-2
             hits[e.seed] += scores[place[e.item]] >= least - 1e-6
@@ -81,7 +82,7 @@ def test_texts_over_the_capacity_count_whole(spark):
     df = spark.createDataFrame([(0, "alpha " * 300 + "beta"), (1, "gamma"), (2, "alpha")], "doc_id long, text string")
     table = packing.sized(df, "doc_id", "text", 128, "byte_bpe_50k", bpe.TOKENIZERS)
     n = [x.n for x in table.orderBy("key").collect()]
-    idf, mean = packing.statistics(table)
+    idf, mean = packing.statistics(table, KINDS[0])
     assert mean == sum(n) / 3 and idf.min() < np.log(1 + 3.5 / 1.5) + 1e-9
 
 

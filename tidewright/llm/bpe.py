@@ -236,6 +236,12 @@ def encoder(path: str) -> Encoder:
 BATCH = 1_000_000  # characters encoded at a time
 
 
+def vocabulary(path: str) -> int:
+    """One more than the greatest id."""
+    with open(path, encoding="utf-8") as f:
+        return max(json.load(f)["model"]["vocab"].values()) + 1
+
+
 def batches_of(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
     at, chars = 0, 0
     for i, t in enumerate(texts):

@@ -47,19 +47,16 @@ class Index:
         self.terms = terms
         self.weights = (idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes / max(mean, 1e-9))[owner])).astype(np.float32)
         order = np.argsort(terms, kind="stable")
-        self.items, self.impacts = owner[order], self.weights[order]
+        self.items, self.impacts = owner[order].astype(np.int64), self.weights[order].astype(np.float64)
         self.at = np.searchsorted(terms[order], np.arange(len(idf) + 1))
         self.asked = np.zeros(len(idf), np.float32)
 
     def scores(self, terms: np.ndarray, fit: int) -> np.ndarray:
         """BM25 of the first `fit` items for the terms."""
-        out = np.zeros(fit, np.float32)
-        for a, b in zip(self.at[terms].tolist(), self.at[terms + 1].tolist()):
-            if a < b:
-                if fit < self.n:
-                    b = a + int(np.searchsorted(self.items[a:b], fit))
-                out[self.items[a:b]] += self.impacts[a:b]
-        return out
+        spans = [(a, b) for a, b in zip(self.at[terms].tolist(), self.at[terms + 1].tolist()) if a < b]
+        if not spans:
+            return np.zeros(fit)
+        return np.bincount(np.concatenate([self.items[a:b] for a, b in spans]), np.concatenate([self.impacts[a:b] for a, b in spans]), self.n)[:fit]
 
     def exact(self, terms: np.ndarray, items: np.ndarray) -> np.ndarray:
         """BM25 of the items (ascending) for all the terms."""
@@ -107,11 +104,22 @@ def best_fit(rooms: list[int], sizes: np.ndarray, capacity: int) -> list[int]:
     return out
 
 
+def narrow(most: int) -> str:
+    """The least unsigned type for numbers up to `most`."""
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
+def kinds(capacity: int, tokenizer: str, folder: str) -> tuple[str, str]:
+    """How the binary columns terms (and more) and counts hold their numbers."""
+    return narrow(bpe.vocabulary(f"{folder}/{tokenizer}.json")), narrow(capacity)
+
+
 def sized(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str, folder: str) -> DataFrame:
     """id, key, n (tokens), size (of the piece to be packed: n, or what is left after full containers), ord (a hash of key and text), copy (how
     often a task saw that hash before), the piece's distinct tokens with their counts, and the text's tokens that the piece hasn't."""
     path = f"{folder}/{tokenizer}.json"
     kind = df.schema[key].dataType.simpleString()
+    term, number = kinds(capacity, tokenizer, folder)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = bpe.encoder(path)
@@ -127,9 +135,9 @@ def sized(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str, fol
                     n.append(len(ids))
                     piece = ids[len(ids) // capacity * capacity :] if len(ids) > capacity else ids
                     t, c = np.unique(piece, return_counts=True)
-                    terms.append(t.astype(np.int32).tobytes())
-                    counts.append(c.astype(np.int32).tobytes())
-                    more.append(np.setdiff1d(ids, t).astype(np.int32).tobytes() if len(piece) < len(ids) else b"")
+                    terms.append(t.astype(term).tobytes())
+                    counts.append(c.astype(number).tobytes())
+                    more.append(np.setdiff1d(ids, t).astype(term).tobytes() if len(piece) < len(ids) else b"")
                     copies.append(seen[o])
                     seen[o] += 1
                 n = np.array(n, np.int64)
@@ -142,13 +150,13 @@ def sized(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str, fol
     return spread(rows).mapInArrow(run, f"id long, key {kind}, n long, size int, ord long, copy long, terms binary, counts binary, more binary")
 
 
-def statistics(table: DataFrame) -> tuple[np.ndarray, float]:
+def statistics(table: DataFrame, term: str) -> tuple[np.ndarray, float]:
     """Inverse document frequency by token and mean length, of all whole texts."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1, np.int64)
         for b in parts:
-            c = np.bincount(np.frombuffer(b"".join(x for col in (0, 1) for x in b.column(col).to_pylist()), np.int32), minlength=len(seen))
+            c = np.bincount(np.frombuffer(b"".join(x for col in (0, 1) for x in b.column(col).to_pylist()), term), minlength=len(seen))
             c[: len(seen)] += seen
             seen = c
         at = np.flatnonzero(seen)
@@ -163,22 +171,35 @@ def statistics(table: DataFrame) -> tuple[np.ndarray, float]:
     return np.log(1 + (count - df_all + 0.5) / (df_all + 0.5)), float(mean or 0)
 
 
-def nearest(seeds: DataFrame, items: DataFrame, idf: np.ndarray, mean: float, k: int = NEAREST, by: int = TERMS, candidates: int = CANDIDATES, postings: int = POSTINGS) -> DataFrame:
+def nearest(seeds: DataFrame, items: DataFrame, idf: np.ndarray, mean: float, kinds: tuple[str, str], k: int = NEAREST, by: int = TERMS, candidates: int = CANDIDATES, postings: int = POSTINGS) -> DataFrame:
     """The k best items by BM25 for each seed, of those no larger than its room: seed, sord, room, item, iord, size, score.
 
     seeds: id, ord, room, size, terms, counts. items: id, ord, copy, size, terms, counts. Every seed meets every shard of the index; there, its
     `by` terms of most weight choose `candidates` items, which are scored by all its terms. The rows of a shard are held by one task, the seeds
     stream past it. Where shards are fewer than cores each is built in several tasks, which share the seeds."""
     spark = seeds.sparkSession
+    term, number = kinds
     shared = spark.sparkContext.broadcast((idf, mean))
-    total = items.agg(F.sum(F.octet_length("terms"))).first()[0] or 0
-    shards = max(1, -(-total // (4 * postings)))
+    total = (items.agg(F.sum(F.octet_length("terms"))).first()[0] or 0) // int(term[-1])
+    shards = max(1, -(-total // postings))
     blocks = max(1, -(-spark.sparkContext.defaultParallelism // shards))
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     shard = F.pmod(F.xxhash64("ord", "copy"), F.lit(shards)).cast("int")
     block = F.pmod(F.xxhash64("ord", F.lit(1)), F.lit(blocks)).cast("int")
     rows = items.select("id", "ord", F.lit(0).alias("tag"), "size", "terms", "counts", shard.alias("shard"), numbers(blocks).alias("block"))
-    asked = seeds.select("id", "ord", F.lit(1).alias("tag"), F.col("room").alias("size"), "terms", "counts", numbers(shards).alias("shard"), block.alias("block"))
+
+    def weighed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, mean = shared.value
+        for b in parts:
+            out = []
+            for t, c in zip(b.column("terms").to_pylist(), b.column("counts").to_pylist()):
+                t, c = np.frombuffer(t, term), np.frombuffer(c, number).astype(np.float64)
+                own = idf[t] * c / (c + K1 * (1 - B + B * c.sum() / max(mean, 1e-9)))
+                out.append(t[np.argsort(-own, kind="stable")].tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("ord"), b.column("room"), pa.array(out, pa.binary())], names=["id", "ord", "size", "terms"])
+
+    asked = seeds.select("id", "ord", "room", "terms", "counts").mapInArrow(weighed, "id long, ord long, size int, terms binary")  # terms by weight
+    asked = asked.select("id", "ord", F.lit(1).alias("tag"), "size", "terms", F.lit(None).cast("binary").alias("counts"), numbers(shards).alias("shard"), block.alias("block"))
     both = rows.unionByName(asked).withColumn("part", F.col("shard") * blocks + F.col("block")).drop("shard", "block")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,9 +209,9 @@ def nearest(seeds: DataFrame, items: DataFrame, idf: np.ndarray, mean: float, k:
         for b in parts:
             tag, id_, ord_, size = (b.column(c).to_numpy() for c in ("tag", "id", "ord", "size"))
             first = int(np.searchsorted(tag, 1))
-            terms, counts = b.column("terms").to_pylist(), b.column("counts").to_pylist()
+            terms = b.column("terms").to_pylist()
             if first:
-                held.append((id_[:first], ord_[:first], size[:first], terms[:first], counts[:first]))
+                held.append((id_[:first], ord_[:first], size[:first], terms[:first], b.column("counts").slice(0, first).to_pylist()))
             if first == len(tag):
                 continue
             if index is None:
@@ -198,14 +219,12 @@ def nearest(seeds: DataFrame, items: DataFrame, idf: np.ndarray, mean: float, k:
                 order = np.lexsort((ids, ords, sizes))
                 flat = [[x for h in held for x in h[c]] for c in (3, 4)]
                 held = []
-                lengths = np.array([len(x) // 4 for x in flat[0]], np.int64)[order]
-                index = Index(*[np.frombuffer(b"".join(x[i] for i in order.tolist()), np.int32) for x in flat], lengths, sizes[order], idf, mean)
+                lengths = np.array([len(x) // int(term[-1]) for x in flat[0]], np.int64)[order]
+                index = Index(*[np.frombuffer(b"".join(x[i] for i in order.tolist()), t).astype(np.int32) for x, t in zip(flat, (term, number))], lengths, sizes[order], idf, mean)
                 ids, ords = ids[order], ords[order]
             out = []
             for i in range(first, len(tag)):
-                t, c = np.frombuffer(terms[i], np.int32), np.frombuffer(counts[i], np.int32).astype(np.float64)
-                own = idf[t] * c / (c + K1 * (1 - B + B * c.sum() / max(mean, 1e-9)))
-                near, score = index.nearest(t[np.argsort(-own, kind="stable")], int(size[i]), k, by, candidates)
+                near, score = index.nearest(np.frombuffer(terms[i], term).astype(np.int64), int(size[i]), k, by, candidates)
                 if len(near):
                     out.append((np.full(len(near), id_[i]), np.full(len(near), ord_[i]), np.full(len(near), size[i]), ids[near], ords[near], index.sizes[near], score))
             if out:
@@ -292,7 +311,8 @@ def pack(df: DataFrame, key: str, text: str, capacity: int = 2048, tokenizer: st
     ship(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
     table = cut(sized(df, key, text, capacity, tokenizer, folder), "sized")
-    idf, mean = statistics(table)
+    held = kinds(capacity, tokenizer, folder)
+    idf, mean = statistics(table, held[0])
     texts = table.filter("size > 0")
     seeds = seeds_of(texts, capacity).select("id", "ord", "copy", "size", "terms", "counts", (F.lit(capacity) - F.col("size")).cast("int").alias("room"))
     seeds = cut(seeds, "seeds")
@@ -306,7 +326,7 @@ def pack(df: DataFrame, key: str, text: str, capacity: int = 2048, tokenizer: st
             used = taken.groupBy(F.col("seed").alias("id")).agg(F.sum("size").alias("used"))
             asking = seeds.join(used, "id", "left").withColumn("room", (F.col("room") - F.coalesce("used", F.lit(0))).cast("int")).drop("used")
             free = unused.join(taken.select(F.col("item").alias("id")), "id", "left_anti")
-        edges = cut(nearest(asking.filter("room > 0"), cut(free.select("id", "ord", "copy", "size", "terms", "counts"), "free") if taken is not None else free, idf, mean, postings=postings), "edges")
+        edges = cut(nearest(asking.filter("room > 0"), cut(free.select("id", "ord", "copy", "size", "terms", "counts"), "free") if taken is not None else free, idf, mean, held, postings=postings), "edges")
         pairs, written = match(edges, ROUNDS)
         pairs = pairs.withColumn("turn", F.col("turn") + probe * ROUNDS)
         taken = pairs if taken is None else taken.unionByName(pairs)
