@@ -3,7 +3,6 @@ import random
 from tidewright.operators import changefeed
 from tidewright.operators.changefeed import ChangeLog, apply_changes, compact, flagged_codes
 from tidewright.session import scratch
-from tidewright.sources.tables import Table
 
 SCHEMA = "entity string, row string, version int, ts timestamp_ntz, ends boolean, ord long"
 
@@ -74,7 +73,7 @@ def test_flags(spark, rows):
 def test_log_takes_batches_in_any_order(spark, rows):
     changes = some(8, 90)
     for order in ((0, 1, 2), (2, 0, 1, 0)):
-        log = ChangeLog(Table(spark, scratch(spark, "log")))
+        log = ChangeLog(spark, scratch(spark, "log"))
         for i in order:
             out = log.advance(frame(spark, changes[30 * i : 30 * i + 30]))
         assert rows(out) == brute(changes)

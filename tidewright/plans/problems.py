@@ -30,11 +30,23 @@ def claim_changes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    out = changefeed.apply_changes(claim_changes(spark, sf))
+def _in_force(out: DataFrame) -> DataFrame:
     return out.select(F.col("entity").alias("claim_id"), F.col("row").alias("claim_line_id"), F.col("version").alias("claim_version"), F.col("ord").alias("change_id"))
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed in two batches, as it arrived: the later half against the base that the earlier half left."""
+    changes = claim_changes(spark, sf)
+    first, last = table(spark, sf, "fact_claim_line").agg(F.min("change_id"), F.max("change_id")).first()
+    middle = ((first or 0) + (last or 0)) // 2
+    return _in_force(changefeed.apply_changes(changes, batches=F.when(F.col("ord") <= middle, 0).otherwise(1), parts=2))
+
+
+def p1_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed in four batches that have nothing to do with its order."""
+    return _in_force(changefeed.apply_changes(claim_changes(spark, sf), batches=F.pmod(F.xxhash64("ord"), F.lit(4)).cast("int"), parts=4))
+
+
 P1_SQL = """
 WITH s AS (SELECT upper(trim(status_code, ' \t\r\n')) AS code, bool_or(coalesce(is_void, false) OR coalesce(is_reversal, false)) AS ends FROM ref_claim_status GROUP BY 1),
 f AS (SELECT upper(trim(claim_id, ' \t\r\n')) AS claim_id, nullif(upper(trim(claim_line_id, ' \t\r\n')), '') AS claim_line_id, coalesce(claim_version, 0) AS v, source_extract_ts AS ts, change_id, coalesce(s.ends, false) AS ends
@@ -273,6 +285,7 @@ UNION ALL SELECT m, p, 'gap', strftime(s, '%Y-%m-%d'), strftime(e, '%Y-%m-%d') F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p1_batches": p1_batches,
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_landed": p3_landed,
@@ -285,6 +298,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 SQL = {
     "p1_found": P1_SQL,
+    "p1_batches": P1_SQL,
     "p2_found": P2_SQL,
     "p3_found": P3_SQL,
     "p3_landed": P3_LANDED_SQL,
