@@ -1,24 +1,28 @@
 """Exactly one copy of each message of an at-least-once feed.
 
-Identities are dictionary-encoded exactly: each epoch writes a segment of the dictionary whose shards are the partitions of
-the pre-aggregated identities and whose codes count from 0 within the shard, so codes are dense and take no sort. What has been
-seen is a bitmap per shard and bucket of 32,768 codes, kept compressed. An epoch selects one arrival for each bit that isn't set,
-and becomes visible with its new bits by one rename of the manifest; until then, and if the job dies, nothing has happened."""
+Identities are dictionary-encoded exactly: an epoch writes a segment of the dictionary for the identities that it doesn't know, whose shards are the
+partitions of the pre-aggregated identities and whose codes count from 0 within the shard, so codes are dense and take no sort. What has been
+seen is a bitmap per shard and bucket of 32,768 codes, kept compressed, and the bitmaps alone say whether a message is new: an identity may be in the
+dictionary without having been seen. An epoch selects one arrival for each bit that isn't set, and becomes visible with its new bits by one
+rename of the manifest; until then, and if the job dies, nothing has happened."""
 
 from __future__ import annotations
 
-import json
 import uuid
 import zlib
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from tidewright.session import scratch, ship
+from tidewright.sources.tables import Pointer
 
 SHARD_BITS = 33  # monotonically_increasing_id holds the partition above and the row below this bit
+MERGED = 8  # dictionary segments from which they are written as one
+REPLAYED = 64  # latest epochs whose result can be asked for again
 
 
 def _deflate(maps: pd.Series) -> pd.Series:
@@ -32,36 +36,19 @@ def _inflate(maps: pd.Series) -> pd.Series:
 class SeenStore:
     """Dictionary segments and seen-bitmaps in a shared folder.
 
-    MANIFEST names the segments and the bitmap version that count. It is replaced by one rename, so a reader sees the state before or
-    after an epoch; files that no manifest names are left-overs of epochs that failed and are never read."""
+    MANIFEST names the files that count. It is replaced by one rename, so a reader sees the state before or after an epoch; files that
+    no manifest names are left-overs of epochs that failed and are never read."""
 
     def __init__(self, spark: SparkSession, path: str):
         ship(spark)
         self.spark, self.path = spark, path.rstrip("/")
-        self._hp = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._hp(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.pointer = Pointer(spark, self.path, "MANIFEST")
 
     def manifest(self) -> dict:
-        p = self._hp(f"{self.path}/MANIFEST")
-        if not self._fs.exists(p):
-            return {"segments": [], "bitmaps": None, "epochs": []}
-        with_ = self._fs.open(p)
-        try:
-            return json.loads(bytes(with_.readAllBytes()).decode())
-        finally:
-            with_.close()
-
-    def _publish(self, manifest: dict) -> None:
-        tmp = self._hp(f"{self.path}/MANIFEST.{uuid.uuid4().hex}")
-        out = self._fs.create(tmp, True)
-        out.write(bytearray(json.dumps(manifest).encode()))
-        out.close()
-        jvm = self.spark._jvm
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(tmp.toUri(), self.spark._jsc.hadoopConfiguration())
-        option = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = option
-        context.rename(tmp, self._hp(f"{self.path}/MANIFEST"), options)
+        return self.pointer.get() or {"segments": [], "bitmaps": None, "epochs": []}
+
+    def _publish(self, manifest: dict, before: dict | None) -> None:
+        self.pointer.set(manifest, before)
 
     def seen(self) -> DataFrame | None:
         """segment string, shard int, bucket long, bits binary (inflated); None before the first epoch."""
@@ -70,12 +57,18 @@ class SeenStore:
             return None
         return self.spark.read.parquet(at).withColumn("bits", pandas_udf(_inflate, "binary")("bits"))
 
+    def _write_bits(self, bits: DataFrame, name: str) -> str:
+        at = f"{self.path}/bits-{name}"
+        bits.withColumn("bits", pandas_udf(_deflate, "binary")("bits")).write.parquet(at)
+        return at
+
     def accept(self, arrivals: DataFrame, identity: list[str], order: list, arrival: str, epoch: str) -> DataFrame:
         """The arrivals to keep, one row for each identity not seen before: the identity's columns and the arrival's id.
 
         Of several arrivals of one identity the least by `order`, then by the arrival's id, is kept. Null is a value of its own in
-        each identity column. An epoch applied before gives what it gave then and changes nothing. arrivals may be empty and may have
-        further columns, which are ignored."""
+        each identity column. An epoch applied before gives what it gave then (of those before the last REPLAYED ones: nothing, as all its bits
+        are set) and changes nothing. arrivals may be empty and may have further columns, which are ignored."""
+        before = self.pointer.get()
         state = self.manifest()
         done = {e["epoch"]: e["stage"] for e in state["epochs"]}
         if epoch in done:
@@ -83,56 +76,62 @@ class SeenStore:
         ids = [f"i{n}" for n in range(len(identity))]
         named = arrivals.select(*[F.col(c).alias(i) for c, i in zip(identity, ids)], F.struct(*[o.alias(f"o{n}") for n, o in enumerate(order)], F.col(arrival).alias("arrival")).alias("best"))
         best = named.groupBy(*ids).agg(F.min("best").alias("best")).select(*ids, "best.arrival")
-        segment = f"s{len(state['segments'])}-{uuid.uuid4().hex[:8]}"
-        stage = f"{self.path}/stage-{segment}"
-        spot = F.monotonically_increasing_id()
+        segment = f"s{len(state['epochs'])}-{uuid.uuid4().hex[:8]}"
+        stage, dictionary = f"{self.path}/stage-{segment}", f"{self.path}/dict-{segment}"
+        known = None
         if state["segments"]:
-            known = None
-            for s in state["segments"]:
-                part = self.spark.read.parquet(s)
-                known = part if known is None else known.unionByName(part)
-            same = None
-            for c in ids:
-                x = F.col(f"b.{c}").eqNullSafe(F.col(f"k.{c}"))
-                same = x if same is None else same & x
-            coded = best.alias("b").join(known.alias("k"), same, "left").select(*[F.col(f"b.{c}") for c in ids], "b.arrival", "segment", "shard", "code")
-            bits = self.seen()
-            bucket = F.bitmap_bucket_number(F.col("code") + 1).alias("bucket")
-            coded = coded.withColumn("bucket", bucket).join(bits, ["segment", "shard", "bucket"], "left")
-            at = F.bitmap_bit_position(F.col("code") + 1)
-            byte = F.conv(F.hex(F.substring(F.col("bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-            hit = F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), F.pmod(at, F.lit(8))).cast("int")) > 0, F.lit(False))
-            fresh = F.col("code").isNull()
-            coded = coded.select(*ids, "arrival", F.coalesce("segment", F.lit(segment)).alias("segment"), "shard", "code", hit.alias("seen"), fresh.alias("fresh"), spot.alias("spot"))
-        else:
-            coded = best.select(*ids, "arrival", F.lit(segment).alias("segment"), F.lit(None).cast("int").alias("shard"), F.lit(None).cast("long").alias("code"), F.lit(False).alias("seen"), F.lit(True).alias("fresh"), spot.alias("spot"))
-        low = (1 << SHARD_BITS) - 1
-        coded.select(
-            *ids, "arrival", "segment",
-            F.coalesce("shard", F.shiftright("spot", SHARD_BITS).cast("int")).alias("shard"),
-            F.coalesce("code", F.col("spot").bitwiseAND(F.lit(low))).alias("code"),
-            "seen", "fresh",
-        ).write.parquet(stage)
+            entries = self.spark.read.parquet(*state["segments"])
+            same = reduce(lambda a, b: a & b, [F.col(f"b.{c}").eqNullSafe(F.col(f"k.{c}")) for c in ids])
+            found = best.alias("b").join(entries.alias("k"), same, "left").select(*[F.col(f"b.{c}") for c in ids], "b.arrival", "segment", "shard", "code")
+            found.write.parquet(f"{self.path}/found-{segment}")
+            found = self.spark.read.parquet(f"{self.path}/found-{segment}")
+            best, known = found.filter("code is null").select(*ids, "arrival"), found.filter("code is not null")
+        spot = F.monotonically_increasing_id()
+        fresh = best.select(*ids, "arrival", F.lit(segment).alias("segment"), spot.alias("spot"))  # counts fresh rows only, so codes are dense
+        fresh.select(*ids, "arrival", "segment", F.shiftright("spot", SHARD_BITS).cast("int").alias("shard"), F.col("spot").bitwiseAND(F.lit((1 << SHARD_BITS) - 1)).alias("code")).write.parquet(dictionary)
+        coded = self.spark.read.parquet(dictionary)
+        bucket, position = F.bitmap_bucket_number(F.col("code") + 1), F.bitmap_bit_position(F.col("code") + 1)
+        new = coded
+        bits = self.seen()
+        if known is not None:  # fresh codes are in no bitmap, and take no part in this join
+            tested = known.withColumn("bucket", bucket).join(bits, ["segment", "shard", "bucket"], "left").withColumn("at", position)
+            byte = F.conv(F.hex(F.substring("bits", (F.floor(F.col("at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+            seen = F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), F.pmod("at", F.lit(8))).cast("int")) > 0, F.lit(False))
+            new = coded.unionByName(tested.filter(~seen).select(*coded.columns))
+        new.write.parquet(stage)
         staged = self.spark.read.parquet(stage)
-        staged.filter("fresh").select(*ids, "segment", "shard", "code").write.parquet(f"{self.path}/dict-{segment}")
-        new_bits = (
-            staged.filter("not seen")
-            .groupBy("segment", "shard", F.bitmap_bucket_number(F.col("code") + 1).alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("code") + 1)).alias("bits"))
-        )
-        if state["bitmaps"]:
-            new_bits = new_bits.unionByName(self.seen()).groupBy("segment", "shard", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-        at = f"{self.path}/bits-{segment}"
-        new_bits.withColumn("bits", pandas_udf(_deflate, "binary")("bits")).write.parquet(at)
-        self._publish({"segments": [*state["segments"], f"{self.path}/dict-{segment}"], "bitmaps": at, "epochs": [*state["epochs"], {"epoch": epoch, "stage": stage}]})
+        now = staged.groupBy("segment", "shard", bucket.alias("bucket")).agg(F.bitmap_construct_agg(position).alias("bits"))
+        if bits is not None:
+            now = now.unionByName(bits).groupBy("segment", "shard", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        at = self._write_bits(now, segment)
+        segments = [*state["segments"], dictionary]
+        if len(segments) >= MERGED:
+            one = f"{self.path}/dict-all-{segment}"
+            self.spark.read.parquet(*segments).drop("arrival").write.parquet(one)
+            segments = [one]
+        epochs = [*state["epochs"], {"epoch": epoch, "stage": stage}]
+        self._publish({"segments": segments, "bitmaps": at, "epochs": [e if k >= len(epochs) - REPLAYED else e | {"stage": None} for k, e in enumerate(epochs)]}, before)
+        if known is not None:
+            self._delete(f"{self.path}/found-{segment}")
+        for e in state["epochs"][: max(0, len(epochs) - REPLAYED)]:
+            if e["stage"]:
+                self._delete(e["stage"])
         return self._kept(stage, identity, arrival)
 
-    def _kept(self, stage: str, identity: list[str], arrival: str) -> DataFrame:
-        return self.spark.read.parquet(stage).filter("not seen").select(*[F.col(f"i{n}").alias(c) for n, c in enumerate(identity)], F.col("arrival").alias(arrival))
+    def _delete(self, path: str) -> None:
+        self.pointer._fs.delete(self.pointer._hp(path), True)
+
+    def _kept(self, stage: str | None, identity: list[str], arrival: str) -> DataFrame:
+        rows = self.spark.read.parquet(stage or self.manifest()["epochs"][-1]["stage"])
+        return (rows if stage else rows.limit(0)).select(*[F.col(f"i{n}").alias(c) for n, c in enumerate(identity)], F.col("arrival").alias(arrival))
+
 
+def surplus(arrivals: DataFrame, identity: list[str], order: list, arrival: str, store: SeenStore | None = None, epoch: str = "all", rank: Column | None = None, parts: int = 1) -> DataFrame:
+    """The ids of the arrivals that are not kept (see SeenStore.accept).
 
-def surplus(arrivals: DataFrame, identity: list[str], order: list, arrival: str, store: SeenStore | None = None, epoch: str = "all") -> DataFrame:
-    """The ids of the arrivals that are not kept (see SeenStore.accept)."""
+    rank numbers the epoch of an arrival from 0 to parts - 1; the epochs are accepted in turn, and what an earlier one kept is surplus in a later
+    one. By `order` every arrival of an epoch must come before those of the next, so that the copies kept are the least over all."""
     store = store or SeenStore(arrivals.sparkSession, scratch(arrivals.sparkSession, "seen"))
-    kept = store.accept(arrivals, identity, order, arrival, epoch)
-    return arrivals.select(arrival).join(kept.select(arrival), arrival, "left_anti")
+    epochs = [(epoch, arrivals)] if rank is None else [(f"{epoch}-{k}", arrivals.filter(rank == k)) for k in range(parts)]
+    kept = [store.accept(some, identity, order, arrival, name).select(arrival) for name, some in epochs]
+    return arrivals.select(arrival).join(reduce(DataFrame.unionByName, kept), arrival, "left_anti")
