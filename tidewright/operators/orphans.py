@@ -6,13 +6,19 @@ orphans, deletions reopen them, and each batch can end with a snapshot of the co
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.expr import norm_id
 from tidewright.session import lookup_side
+from tidewright.sources.tables import Pointer
 
 SALTS = 8
+SMALL = 20_000  # keys of a field whose index may be broadcast
+HOT_LEAST, HOT_SHARE = 10_000, 10_000
+MERGED = 8  # segments of a ledger from which they are merged into one
 
 
 def parent_index(parents: DataFrame, key: str, current: str, arrived: str) -> DataFrame:
@@ -31,76 +37,122 @@ def verdict(key: Column, found: Column, has_current: Column, first_seen: Column,
     return F.when(key.isNull(), None).when(found.isNull(), "missing").when(~has_current, "deleted").when(first_seen > at, "late")
 
 
-def find_orphans(rows: DataFrame, row_id: str, at: str, fields: dict[str, tuple[DataFrame, bool]], salts: int = SALTS) -> DataFrame:
-    """One row per row and field without a valid target: row_id, at, field, key, reason.
-
-    fields: the referring column, and with it the parent index and whether that index may be broadcast (it's done only if it's proven
-    to be small). Other indexes are joined by shuffle: the references of one key are spread over `salts` tasks and the index, one row a
-    key, is repeated as often, so that a key which a third of the rows name doesn't land in one task. All fields that can be looked up
-    by broadcast take no shuffle; rows without any id never leave their task."""
-    out = rows.select(F.col(row_id).alias("row_id"), F.col(at).alias("at"), *[norm_id(f).alias(f"k_{f}") for f in fields])
-    reasons = []
-    for f, (index, small) in fields.items():
-        side = index.select(F.col("key").alias(f"k_{f}"), F.lit(True).alias("_found"), "has_current", "first_seen")
-        if small:
-            joined = out.join(lookup_side(side), f"k_{f}", "left")
-        else:
-            spread = side.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-            joined = out.withColumn("_salt", F.pmod(F.xxhash64("row_id"), F.lit(salts)).cast("int")).join(spread, [f"k_{f}", "_salt"], "left").drop("_salt")
-        out = joined.withColumn(f"r_{f}", verdict(F.col(f"k_{f}"), F.col("_found"), F.col("has_current"), F.col("first_seen"), F.col("at"))).drop("_found", "has_current", "first_seen")
-        reasons.append(F.struct(F.lit(f).alias("field"), F.col(f"k_{f}").alias("key"), F.col(f"r_{f}").alias("reason")))
-    return out.select("row_id", "at", F.inline(F.filter(F.array(*reasons), lambda x: x.reason.isNotNull())))
-
-
 def snapshot(orphans: DataFrame) -> DataFrame:
     """Counts by table, period, field and reason."""
     return orphans.groupBy("table_name", "period", "field", "reason").agg(F.count("*").alias("orphans"))
 
 
 class OrphanLedger:
-    """Pending-orphan state by key, kept in versions of Parquet tables below a shared folder.
+    """Pending-orphan state by key, in a shared folder that outlives the driver.
 
     A batch brings references (table_name, row_id, field, key, at) and parent events (field, key, current boolean, arrived timestamp,
-    seq long): the newest event by seq says whether the key has a valid row. Only keys that a batch touches are looked up again."""
+    seq long): the newest event by seq says whether the key has a valid row, the earliest arrival since when there is one. New references probe
+    the parent index; references of the keys whose events a batch brings are looked up and probed again, so that parents resolve
+    what waits for them and deletions reopen it.
+
+    Each batch writes a segment of references, index, pending orphans and the keys it judged anew, which overrule what older segments hold
+    pending for them; MERGED segments are merged into one. The manifest that names the segments is replaced by one rename, so a batch counts
+    as a whole or not at all, and a ledger on the same path goes on where the last one ended."""
+
+    INDEX = "field string, key string, has_current boolean, first_seen timestamp_ntz, seq long"
+    REFS = "table_name string, row_id long, field string, key string, at timestamp_ntz"
+    PENDING = REFS + ", reason string, batch long"
+    TOUCHED = "field string, key string, batch long"
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.version = spark, path.rstrip("/"), 0
+        self.spark, self.path = spark, path.rstrip("/")
+        self.pointer = Pointer(spark, self.path, "MANIFEST")
 
-    def _read(self, name: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}/v{self.version}") if self.version else self.spark.createDataFrame([], schema)
+    def _segments(self) -> list[str]:
+        now = self.pointer.get()
+        return now["segments"] if now else []
 
-    INDEX = "field string, key string, has_current boolean, first_seen timestamp_ntz, seq long"
-    REFS = "table_name string, row_id long, field string, key string, at timestamp_ntz, reason string"
+    def _read(self, names: list[str], kind: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{n}/{kind}" for n in names]) if names else self.spark.createDataFrame([], schema)
+
+    def index(self, names: list[str] | None = None, more: DataFrame | None = None) -> DataFrame:
+        """One row per field and key: whether it has a valid row, since when, and the number of its newest event."""
+        rows = self._read(self._segments() if names is None else names, "index", self.INDEX)
+        newest = F.max(F.struct("seq", "has_current"))
+        rows = rows if more is None else rows.unionByName(more)
+        return rows.groupBy("field", "key").agg(newest.alias("n"), F.min("first_seen").alias("first_seen")).select("field", "key", "n.has_current", "first_seen", "n.seq")
 
     def advance(self, references: DataFrame, parents: DataFrame) -> DataFrame:
-        """Applies one batch and returns the pending orphans after it. Repeated references (same table, row, field) count once."""
-        newest = F.max_by(F.struct("has_current", "seq"), F.col("seq"))
-        index = (
-            self._read("index", self.INDEX)
-            .unionByName(parents.select("field", norm_id("key").alias("key"), F.coalesce("current", F.lit(False)).alias("has_current"), F.col("arrived").cast("timestamp_ntz").alias("first_seen"), "seq"))
-            .filter("key is not null")
-            .groupBy("field", "key")
-            .agg(newest.alias("n"), F.min("first_seen").alias("first_seen"))
-            .select("field", "key", "n.has_current", "first_seen", "n.seq")
-        )
-        version = self.version + 1
-        index.write.mode("overwrite").parquet(f"{self.path}/index/v{version}")
-        index = self.spark.read.schema(self.INDEX).parquet(f"{self.path}/index/v{version}")
-        touched = parents.select("field", norm_id("key").alias("key")).distinct()
-        known = self._read("refs", self.REFS)
-        fresh = references.select("table_name", "row_id", "field", norm_id("key").alias("key"), F.col("at").cast("timestamp_ntz").alias("at"), F.lit(None).cast("string").alias("reason")).filter("key is not null").dropDuplicates(["table_name", "row_id", "field"])
-        fresh = fresh.join(known.select("table_name", "row_id", "field"), ["table_name", "row_id", "field"], "left_anti")
-        again = known.join(touched, ["field", "key"], "left_semi").unionByName(fresh)
-        asis = known.join(touched, ["field", "key"], "left_anti")
-        probed = (
-            again.drop("reason")
-            .join(index.select("field", "key", "has_current", "first_seen", F.lit(True).alias("_found")), ["field", "key"], "left")
-            .withColumn("reason", verdict(F.col("key"), F.col("_found"), F.col("has_current"), F.col("first_seen"), F.col("at")))
-        )
-        cols = ["table_name", "row_id", "field", "key", "at", "reason"]
-        asis.select(*cols).unionByName(probed.select(*cols)).write.mode("overwrite").parquet(f"{self.path}/refs/v{version}")
-        self.version = version
+        """Applies one batch and returns the pending orphans after it. References without a key are none; of repeated ones (same table, row and
+        field) in a batch one pending row is kept. Further columns are ignored."""
+        before = self.pointer.get()
+        names, batch = self._segments(), (before["batch"] + 1 if before else 0)
+        at = f"{self.path}/s-{uuid.uuid4().hex}"
+        fresh = references.select("table_name", F.col("row_id").cast("long").alias("row_id"), "field", norm_id("key").alias("key"), F.col("at").cast("timestamp_ntz").alias("at")).filter("key is not null")
+        fresh.write.parquet(f"{at}/refs")
+        fresh = self.spark.read.schema(self.REFS).parquet(f"{at}/refs")
+        events = parents.select("field", norm_id("key").alias("key"), F.coalesce("current", F.lit(False)).alias("has_current"), F.col("arrived").cast("timestamp_ntz").alias("first_seen"), F.col("seq").cast("long").alias("seq")).filter("key is not null")
+        self.index([], events).write.parquet(f"{at}/index")
+        events = self.spark.read.schema(self.INDEX).parquet(f"{at}/index")
+        events.select("field", "key", F.lit(batch).cast("long").alias("batch")).write.parquet(f"{at}/touched")
+        judged = fresh
+        if names:
+            judged = fresh.unionByName(self._read(names, "refs", self.REFS).join(events.select("field", "key"), ["field", "key"], "left_semi"))
+        index = self.index([*names, at.rsplit("/", 1)[1]])
+        found = probe(judged, index).filter("reason is not null").dropDuplicates(["table_name", "row_id", "field"]).withColumn("batch", F.lit(batch).cast("long"))
+        found.select("table_name", "row_id", "field", "key", "at", "reason", "batch").write.parquet(f"{at}/pending")
+        names = [*names, at.rsplit("/", 1)[1]]
+        if len(names) >= MERGED:
+            names = [self._merged(names)]
+        self.pointer.set({"segments": names, "batch": batch}, before)
         return self.pending()
 
+    def _merged(self, names: list[str]) -> str:
+        one = f"s-{uuid.uuid4().hex}"
+        self._read(names, "refs", self.REFS).write.parquet(f"{self.path}/{one}/refs")
+        self.index(names).write.parquet(f"{self.path}/{one}/index")
+        self._pending(names).write.parquet(f"{self.path}/{one}/pending")
+        self.spark.createDataFrame([], self.TOUCHED).write.parquet(f"{self.path}/{one}/touched")
+        return one
+
+    def _pending(self, names: list[str]) -> DataFrame:
+        rows = self._read(names, "pending", self.PENDING)
+        if len(names) > 1:
+            since = self._read(names, "touched", self.TOUCHED).groupBy("field", "key").agg(F.max("batch").alias("_since"))
+            rows = rows.join(since, ["field", "key"], "left").filter("_since is null or batch >= _since").drop("_since")
+        return rows.select("table_name", "row_id", "field", "key", "at", "reason", "batch")
+
     def pending(self) -> DataFrame:
-        return self._read("refs", self.REFS).filter("reason is not null").withColumn("period", F.date_format("at", "yyyy-MM"))
+        return self._pending(self._segments()).drop("batch").withColumn("period", F.date_format("at", "yyyy-MM"))
+
+
+def probe(references: DataFrame, index: DataFrame) -> DataFrame:
+    """references with the reason why their target isn't valid, or null. Fields whose index is proven to be small are looked up by broadcast. The others
+    are joined by shuffle; a key with more than one in HOT_SHARE of the references is hot, so there are fewer than HOT_SHARE of them: its
+    references are spread over tasks in proportion to their number, and its index row is repeated as often."""
+    counts = {r[0]: r[1] for r in index.groupBy("field").count().collect()}  # a row per field
+    small = [f for f, n in counts.items() if n <= SMALL]
+    side = index.select("field", "key", F.lit(True).alias("_found"), "has_current", "first_seen")
+    judged = verdict(F.col("key"), F.col("_found"), F.col("has_current"), F.col("first_seen"), F.col("at"))
+    cols = ["table_name", "row_id", "field", "key", "at"]
+    out = references.filter(F.col("field").isin(small)).join(F.broadcast(side.filter(F.col("field").isin(small))), ["field", "key"], "left").select(*cols, judged.alias("reason"))
+    rest = references.filter(~F.col("field").isin(small))
+    large = side.filter(~F.col("field").isin(small))
+    limit = max(HOT_LEAST, rest.count() // HOT_SHARE)
+    hot = F.broadcast(rest.groupBy("field", "key").count().filter(F.col("count") > limit).select("field", "key", F.ceil(F.col("count") / limit).cast("int").alias("_salts")))
+    salted = rest.join(hot, ["field", "key"], "left").withColumn("_salt", F.pmod(F.xxhash64("row_id"), F.coalesce("_salts", F.lit(1))).cast("int"))
+    spread = large.join(hot, ["field", "key"], "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return out.unionByName(salted.join(spread, ["field", "key", "_salt"], "left").select(*cols, judged.alias("reason")))
+
+
+def parent_events(parents: DataFrame, field: str, key: str, current: str, arrived: str, since=None, until=None) -> DataFrame:
+    """What a dimension says of its keys by the moment `until`: events for the keys of which a row arrived after `since`, and until then (null arrivals
+    count as earliest). current is whether any row so far is; arrived is the earliest arrival."""
+    rows = parents.select(norm_id(key).alias("key"), F.coalesce(F.col(current), F.lit(False)).alias("c"), F.col(arrived).alias("a")).filter("key is not null")
+    if until is not None:
+        rows = rows.filter(F.col("a").isNull() | (F.col("a") <= F.lit(until)))
+    out = rows.groupBy("key").agg(F.max("c").alias("current"), F.min("a").alias("arrived"), F.max("a").alias("_last"))
+    if since is not None:
+        out = out.filter(F.col("_last") > F.lit(since))
+    return out.select(F.lit(field).alias("field"), "key", "current", "arrived")
+
+
+def references_of(rows: DataFrame, table_name: str, row_id: str, at: str, fields: list[str]) -> DataFrame:
+    """One row per row and field with an id: table_name, row_id, field, key, at."""
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), norm_id(f).alias("key")) for f in fields])
+    return rows.select(F.lit(table_name).alias("table_name"), F.col(row_id).alias("row_id"), F.col(at).alias("at"), F.inline(F.filter(pairs, lambda x: x.key.isNotNull())))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.expr import micros, norm_id
 from tidewright.operators import changefeed, delivery, intervals, lateness, malformed, nested, orphans
-from tidewright.session import lookup_side
+from tidewright.session import lookup_side, scratch
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -162,16 +163,23 @@ P3_LANDED_SQL = (
 # 4. orphans
 
 
+PARENTS = (("member_id", "dim_patient"), ("plan_id", "dim_plan"), ("payer_id", "dim_payer"))
+REFERRERS = (("fact_claim_line", "change_id"), ("eligibility_event", "eligibility_event_id"))
+
+
 def claim_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    members = orphans.parent_index(table(spark, sf, "dim_patient"), "member_id", "is_current", "created_at")
-    plans = orphans.parent_index(table(spark, sf, "dim_plan"), "plan_id", "is_current", "created_at")
-    payers = orphans.parent_index(table(spark, sf, "dim_payer"), "payer_id", "is_current", "created_at")
-    fields = {"plan_id": (plans, True), "payer_id": (payers, True), "member_id": (members, False)}
+    """The orphans that a ledger holds after two batches, as references and parents arrived: until the middle of the claims' arrivals, and after it."""
+    first, last = table(spark, sf, "fact_claim_line").agg(F.min("created_at"), F.max("created_at")).first()
+    middle = first + (last - first) / 2 if first else None
+    ledger = orphans.OrphanLedger(spark, scratch(spark, "ledger"))
     out = None
-    for name, row_id in (("fact_claim_line", "change_id"), ("eligibility_event", "eligibility_event_id")):
-        rows = orphans.find_orphans(table(spark, sf, name), row_id, "created_at", fields).withColumn("table_name", F.lit(name))
-        out = rows if out is None else out.unionByName(rows)
-    return out.withColumn("period", F.date_format("at", "yyyy-MM"))
+    for seq, (since, until) in enumerate([(None, middle), (middle, None)] if middle else [(None, None)]):
+        late = F.col("created_at") > F.lit(middle)
+        arrived = F.lit(True) if not middle else late if since else ~F.coalesce(late, F.lit(False))
+        refs = [orphans.references_of(table(spark, sf, name).filter(arrived), name, row_id, "created_at", [f for f, _ in PARENTS]) for name, row_id in REFERRERS]
+        events = [orphans.parent_events(table(spark, sf, name), field, field, "is_current", "created_at", since, until) for field, name in PARENTS]
+        out = ledger.advance(reduce(DataFrame.unionByName, refs), reduce(DataFrame.unionByName, events).withColumn("seq", F.lit(seq)))
+    return out
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
