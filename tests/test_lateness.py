@@ -2,11 +2,15 @@ import random
 from collections import Counter
 from datetime import datetime, timedelta
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidewright.operators.fingertree import FingerTree
-from tidewright.operators.lateness import late_rows, monthly_counts
+from tidewright.operators.lateness import MonthlyCounts, MonthLog, late_rows, monthly_counts
+from tidewright.session import scratch
+from tidewright.sources.tables import Table
 
 
 @settings(max_examples=60, deadline=None)
@@ -68,3 +72,30 @@ def test_rows_and_months(spark, rows):
     months = {p: (c[p, "on_time"], c[p, "correction"], c[p, "on_time"] + c[p, "correction"], c[p, "too_late"]) for p in {p for _, p, _ in want}}
     assert {r[0]: tuple(r[1:]) for r in monthly_counts(df, "b", ["a", "s"]).collect()} == months
     assert rows(late_rows(df.limit(0), "id", "b", ["a", "s"])) == [] and rows(monthly_counts(df.limit(0), "b", ["a", "s"])) == []
+
+
+def test_the_tree_judges(spark, rows, monkeypatch):
+    data = [(1, datetime(2023, 1, 5), datetime(2023, 1, 6), None), (2, datetime(2023, 1, 5), datetime(2023, 3, 1), None), (3, datetime(2023, 1, 5), datetime(2023, 9, 1), None)]
+    df = spark.createDataFrame(data, "id long, b timestamp_ntz, a timestamp_ntz, s timestamp_ntz")
+    shard = MonthlyCounts(7, 90)
+    e, a = (np.array([r[c] for r in data], "datetime64[us]").astype(np.int64) for c in (1, 2))
+    assert shard.arrive(e, a).tolist() == [0, 1, 2]
+    monkeypatch.setattr(FingerTree, "report", lambda *_: None)  # without its edges the tree finds nothing late
+    monkeypatch.setattr(FingerTree, "evict", lambda *_: 0)
+    monkeypatch.setattr(FingerTree, "total", lambda *_: np.zeros(3, int))
+    monkeypatch.setattr(MonthlyCounts, "_close", lambda *_: None)
+    assert MonthlyCounts(7, 90).arrive(e, a).tolist() == [0, 0, 0]
+    assert df.count() == 3
+
+
+def test_months_over_several_batches(spark, rows):
+    r = random.Random(8)
+    base = datetime(2023, 1, 1)
+    data = [(i, base + timedelta(days=r.randint(0, 300)), base + timedelta(days=r.randint(0, 500)), None) for i in range(600)]
+    df = spark.createDataFrame(data, "id long, b timestamp_ntz, a timestamp_ntz, s timestamp_ntz")
+    want = rows(monthly_counts(df, "b", ["a", "s"]))
+    path = scratch(spark, "months")
+    for k in (2, 0, 1):
+        changes = MonthLog(Table(spark, path)).advance(df.filter(F.col("id") % 3 == k), "b", ["a", "s"])  # a new log on the same table
+        assert changes.agg(F.sum(F.col("corrected") + F.col("too_late"))).first()[0] == 200
+    assert rows(MonthLog(Table(spark, path)).months()) == want

@@ -1,13 +1,17 @@
 """A finger B-tree of partial aggregates keyed by event time.
 
 Every node holds the combined partial of its subtree. An insert climbs from the finger at the newest leaf only as far as the time's
-distance from the end demands, then updates the partials of the leaf's ancestors; eviction cuts whole subtrees off at the left spine."""
+distance from the end demands, then updates the partials of the leaf's ancestors; eviction cuts whole subtrees off at the left spine.
+
+The tree judges what is inserted: times below `edge`, up to which it was evicted, are refused; those below `mark`, up to which it was reported, are
+corrections of what was reported."""
 
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 
 WIDTH = 32  # most entries of a leaf, most children of an inner node
+ON_TIME, CORRECTION, TOO_LATE = 0, 1, 2
 
 
 class _Node:
@@ -22,9 +26,20 @@ class FingerTree:
 
     def __init__(self):
         self.root = self.finger = _Node([], [], None, None)
-
-    def add(self, time, partial) -> None:
-        """Combines partial into the entry at time."""
+        self.edge = self.mark = None
+
+    def report(self, before) -> None:
+        """From now on what comes below `before` is a correction."""
+        if self.mark is None or before > self.mark:
+            self.mark = before
+
+    def add(self, time, partial, late=None) -> int:
+        """Combines partial, or late if time was reported, into the entry at time. Returns ON_TIME, CORRECTION or TOO_LATE (then nothing is kept)."""
+        if self.edge is not None and time < self.edge:
+            return TOO_LATE
+        outcome = ON_TIME
+        if self.mark is not None and time < self.mark:
+            outcome, partial = CORRECTION, partial if late is None else late
         node = self.finger
         while node.parent is not None and not (node.keys and node.keys[0] <= time):
             node = node.parent
@@ -42,6 +57,7 @@ class FingerTree:
             up = up.parent
         while node is not None and len(node.keys if node.children is None else node.children) > WIDTH:
             node = self._split(node)
+        return outcome
 
     def _split(self, node: _Node) -> _Node:
         half = WIDTH // 2
@@ -93,6 +109,8 @@ class FingerTree:
 
     def evict(self, before) -> int:
         """Cuts off all times below `before`; returns how many subtrees and entries were cut."""
+        if self.edge is None or before > self.edge:
+            self.edge = before
         node, cuts, path = self.root, 0, []
         while node.children is not None:
             i = bisect_right(node.keys, before)

@@ -1,8 +1,8 @@
 """Counts per month of event time, corrected as late rows arrive, with a cut-off for lateness.
 
 Each partition is a shard with a finger tree of its own, keyed by the hour of event time, through which its rows pass in order of
-arrival. As the clock of arrivals moves, months are reported and, at the cut-off, evicted in bulk; a row that comes after its month's
-report corrects it, one behind the evicted edge is too late. Partials of the shards are sums, so months are combined by one small
+arrival. As the clock of arrivals moves, months are reported and, at the cut-off, evicted in bulk; the tree says of a row that is put into it whether
+it comes after its month's report, and corrects it, or behind the evicted edge, where it is too late. Partials of the shards are sums, so months are combined by one small
 aggregation and rows are never moved."""
 
 from __future__ import annotations
@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.expr import micros
-from tidewright.operators.fingertree import FingerTree
+from tidewright.operators.fingertree import TOO_LATE, FingerTree
 from tidewright.session import ship
+from tidewright.sources.tables import Table
 
 HOUR, DAY = 3_600_000_000, 86_400_000_000
-ON_TIME, CORRECTION, TOO_LATE = 0, 1, 2
 OUTCOMES = ("on_time", "correction", "too_late")
 
 
@@ -41,56 +41,55 @@ class MonthlyCounts:
     def __init__(self, grace: int, cut_off: int):
         self.grace, self.cut_off = grace * DAY, cut_off * DAY
         self.tree = FingerTree()
-        self.clock = self.reported = self.evicted = self.turn = None
+        self.turn = None
         self.closed: dict[int, np.ndarray] = {}
 
     def _advance(self, clock: int) -> None:
-        """Moves the edges: event times below `reported` are in months reported by now, those below `evicted` in months closed by now."""
-        reported = _starts(_month(clock - self.grace))
-        evicted = _starts(_month(clock - self.cut_off))
-        if self.evicted is None or evicted > self.evicted:
-            self._close(evicted)
-        self.clock, self.reported, self.evicted = clock, reported, evicted
+        """Moves the tree's edges: months that are over by more than the grace are reported, those over by more than the cut-off are closed."""
+        reported, evicted = _starts(_month(clock - self.grace)), _starts(_month(clock - self.cut_off))
+        self._close(evicted)
+        self.tree.report(reported // HOUR)
         self.turn = min(_starts(_month(reported) + 1) + self.grace, _starts(_month(evicted) + 1) + self.cut_off)
 
     def _close(self, before: int) -> None:
+        """Takes the totals of the months before out of the tree, a subtree at a time."""
         first = next(self.tree.items(), None)
         while first is not None and first[0] * HOUR < before:
             m = _month(first[0] * HOUR)
-            end = _starts(m + 1)
-            self.closed[m] = self.closed.get(m, 0) + self.tree.total(first[0], end // HOUR)
+            end = min(_starts(m + 1), before)
+            self._count(m, self.tree.total(first[0], end // HOUR))
             self.tree.evict(end // HOUR)
             first = next(self.tree.items(), None)
+        self.tree.evict(before // HOUR)
+
+    def _count(self, month: int, counts: np.ndarray) -> None:
+        self.closed[month] = self.closed.get(month, 0) + counts
 
     def arrive(self, events: np.ndarray, arrivals: np.ndarray) -> np.ndarray:
-        """Outcomes of rows in order of arrival (microseconds)."""
+        """Outcomes of rows in order of arrival (microseconds), as the tree judges them when they are put into it."""
         out = np.empty(len(events), np.int8)
         at, n = 0, len(events)
         while at < n:
             if self.turn is None or arrivals[at] >= self.turn:
                 self._advance(int(arrivals[at]))
             to = int(np.searchsorted(arrivals, self.turn, "left")) if arrivals[-1] >= self.turn else n
-            part = events[at:to]
-            outcome = np.where(part < self.evicted, TOO_LATE, np.where(part < self.reported, CORRECTION, ON_TIME)).astype(np.int8)
-            out[at:to] = outcome
-            hours = part // HOUR
-            keys, where = np.unique(hours, return_inverse=True)
-            partials = np.zeros((len(keys), 3), np.int64)
-            np.add.at(partials, (where, outcome), 1)
-            edge = self.evicted // HOUR
-            for k, p in zip(keys.tolist(), partials):
-                if k < edge:  # beyond the cut-off: counted apart, the closed month stays as it is
-                    m = _month(k * HOUR)
-                    self.closed[m] = self.closed.get(m, 0) + p
-                else:
-                    self.tree.add(k, p)
+            hours, where, count = np.unique(events[at:to] // HOUR, return_inverse=True, return_counts=True)
+            judged = np.empty(len(hours), np.int8)
+            for i, (k, c) in enumerate(zip(hours.tolist(), count.tolist())):
+                judged[i] = outcome = self.tree.add(k, np.array([c, 0, 0]), np.array([0, c, 0]))
+                if outcome == TOO_LATE:  # counted apart, the closed month stays as it is
+                    self._count(_month(k * HOUR), np.array([0, 0, c]))
+            out[at:to] = judged[where]
             at = to
         return out
 
     def months(self) -> dict[int, np.ndarray]:
         """(on time, corrections, too late) by month, of all rows so far."""
-        self._close(1 << 62)
-        return self.closed
+        out = dict(self.closed)
+        for k, counts in self.tree.items():
+            m = _month(k * HOUR)
+            out[m] = out.get(m, 0) + counts
+        return out
 
 
 def _prepared(df: DataFrame, key: str, event: str, arrived: list[str]) -> DataFrame:
@@ -132,6 +131,28 @@ def monthly_counts(df: DataFrame, event: str, arrived: list[str], grace: int = 7
         yield pd.DataFrame(rows, columns=["period", "reported", "corrections", "too_late"])
 
     parts = _prepared(df.withColumn("_none", F.lit(0)), "_none", event, arrived).mapInPandas(run, "period string, reported long, corrections long, too_late long")
+    return _summed(parts)
+
+
+def _summed(parts: DataFrame) -> DataFrame:
     return parts.groupBy("period").agg(
         F.sum("reported").alias("reported"), F.sum("corrections").alias("corrections"), F.sum(F.col("reported") + F.col("corrections")).alias("corrected"), F.sum("too_late").alias("too_late")
     )
+
+
+class MonthLog:
+    """Monthly counts that outlive a run: each batch adds the partials of its shards' trees, one row per month that it changes, to a table. Batches may
+    come in any order, as a row is judged by its own arrival; a batch is counted each time it is given."""
+
+    def __init__(self, table: Table, grace: int = 7, cut_off: int = 90):
+        self.table, self.grace, self.cut_off = table, grace, cut_off
+
+    def advance(self, batch: DataFrame, event: str, arrived: list[str]) -> DataFrame:
+        """Takes a batch in and returns what it changes: period, reported, corrections, corrected and too_late, all as differences. A month with
+        corrections was reported before."""
+        changes = monthly_counts(batch, event, arrived, self.grace, self.cut_off)
+        stats = self.table.append(changes)
+        return self.table.written(stats)
+
+    def months(self) -> DataFrame:
+        return _summed(self.table.read().select("period", "reported", "corrections", "too_late"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidewright.functions.expr import micros, norm_id
 from tidewright.operators import changefeed, delivery, intervals, lateness, malformed, nested, orphans
 from tidewright.session import lookup_side, scratch
+from tidewright.sources import tables
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -264,6 +265,15 @@ def p6_months(spark: SparkSession, sf: str) -> DataFrame:
     return lateness.monthly_counts(table(spark, sf, "br_raw_claim_event"), "business_event_ts", ARRIVED)
 
 
+def p6_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """As p6_months, of a table of partials that four batches, which have nothing to do with the order of arrival, added to."""
+    rows = table(spark, sf, "br_raw_claim_event").select("bronze_event_id", "business_event_ts", *ARRIVED)
+    log = lateness.MonthLog(tables.Table(spark, scratch(spark, "months")))
+    for k in range(4):
+        log.advance(rows.filter(F.pmod(F.xxhash64("bronze_event_id"), F.lit(4)) == k), "business_event_ts", ARRIVED)
+    return log.months()
+
+
 _P6_BASE = """
 WITH e AS (SELECT bronze_event_id, business_event_ts AS b, coalesce(ingest_ts, source_extract_ts) AS a, date_trunc('month', business_event_ts) + INTERVAL 1 MONTH AS e FROM br_raw_claim_event),
 o AS (SELECT bronze_event_id, strftime(b, '%Y-%m') AS period, CASE WHEN a >= e + INTERVAL 90 DAY THEN 'too_late' WHEN a >= e + INTERVAL 7 DAY THEN 'correction' ELSE 'on_time' END AS outcome FROM e WHERE a IS NOT NULL AND b IS NOT NULL)
@@ -307,6 +317,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_months": p6_months,
+    "p6_batches": p6_batches,
     "p7_found": p7_found,
 }
 SQL = {
@@ -320,5 +331,6 @@ SQL = {
     "p5_found": P5_SQL,
     "p6_found": P6_SQL,
     "p6_months": P6_MONTHS_SQL,
+    "p6_batches": P6_MONTHS_SQL,
     "p7_found": P7_SQL,
 }

@@ -75,6 +75,10 @@ class Table:
         now = self.pointer.get()
         return None if now is None else self._frame(now["files"])
 
+    def written(self, stats: WriteStats) -> DataFrame:
+        """The rows of one write."""
+        return self.spark.read.parquet(f"{self.path}/{stats.version}")
+
     def _frame(self, files: list[str]) -> DataFrame:
         return self.spark.read.option("mergeSchema", len({f.rsplit("/", 1)[0] for f in files}) > 1).parquet(*files)
 
