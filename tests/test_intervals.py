@@ -1,4 +1,3 @@
-import json
 import random
 from datetime import date, timedelta
 
@@ -47,11 +46,14 @@ def test_operator(spark, rows):
 
 
 def test_stream_holds_the_map_in_state(spark, tmp_path):
-    schema = "k string, s date, e date"
-    for i, part in enumerate([[("a", D0, D0 + timedelta(5)), ("a", D0 + timedelta(9), D0 + timedelta(12))], [("a", D0 + timedelta(5), D0 + timedelta(9)), ("b", D0, None)]]):
-        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        q = merged_periods(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "k", "s", "e").writeStream.outputMode("update").format("memory").queryName(f"periods{i}").option("checkpointLocation", str(tmp_path / f"c{i}")).trigger(availableNow=True).start()
-        q.awaitTermination()
-    n = (D0 - date(1970, 1, 1)).days
-    got = {r.key: json.loads(r.periods) for r in spark.table("periods1").collect()}
-    assert got["a"] == [[n, n + 12]] and got["b"][0][0] == n
+    schema, at, checkpoint = "k string, s date, e date", str(tmp_path / "in"), str(tmp_path / "c")
+    day = lambda n: D0 + timedelta(n)
+    feed = [[("a", day(9), day(12)), ("a", day(0), day(5)), ("a", day(40), day(41))], [("a", day(5), day(9)), ("b", D0, None), ("b", None, D0), (None, D0, day(3))], [("a", day(20), day(30))]]
+    out = {}
+    for part in feed:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(at)
+        q = merged_periods(spark.readStream.schema(schema).parquet(at), ["k"], "s", "e").writeStream.outputMode("update")
+        q.foreachBatch(lambda b, _: out.update({r.k: [tuple(x) for x in r.spans] for r in b.collect()})).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    name = lambda n: day(n).isoformat()
+    assert out["a"] == [("period", name(0), name(12)), ("period", name(20), name(30)), ("period", name(40), name(41)), ("gap", name(12), name(20)), ("gap", name(30), name(40))]
+    assert out["b"] == [("period", name(0), "9999-12-31")] and len(out) == 2

@@ -46,26 +46,23 @@ class IntervalMap:
         return len(self.starts)
 
 
-def _day_names(days: list[int]) -> np.ndarray:
+def day_names(days: list[int]) -> np.ndarray:
     return np.array(days, "datetime64[D]").astype(str).astype(object)
 
 
-def merge_intervals(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
-    """The keys (as text), kind (period, gap), start_date and end_date (yyyy-MM-dd, the end not included) of each entity.
-
-    start and end are dates; a null end, or 9999-12-31, is open and put out as 9999-12-31. Left out are rows with a null key or start, or
-    with an end not after the start. Intervals that overlap or touch form one period; a gap runs from a period to the next. Repeated rows
-    change nothing, other columns are ignored, and an empty table gives no rows."""
-    ship(df.sparkSession)
-    days = df.select(
-        *[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)],
-        F.unix_date(start).alias("s"),
-        F.coalesce(F.unix_date(end), F.lit(OPEN)).alias("e"),
-    ).filter(" and ".join([f"k{i} is not null" for i in range(len(keys))] + ["e > s"]))
+def valid_days(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """k0, k1, ... (the keys as text), s and e in days, of the rows that have keys, a start, and an end after it; a null end is open."""
     ks = [f"k{i}" for i in range(len(keys))]
-    held = ", ".join(f"{k} string" for k in ks)
+    days = df.select(*[F.col(k).cast("string").alias(n) for n, k in zip(ks, keys)], F.unix_date(start).alias("s"), F.coalesce(F.unix_date(end), F.lit(OPEN)).alias("e"))
+    return days.filter(" and ".join([f"{k} is not null" for k in ks] + ["e > s"]))
+
 
-    def partial(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def merged_by_task(days: DataFrame) -> DataFrame:
+    """The disjoint intervals of each entity among a task's rows; of a stream, among those of a micro-batch. A task that holds more than HELD intervals
+    passes its maps on, so an entity may come several times."""
+    ks = days.columns[:-2]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         maps: dict[tuple, IntervalMap] = {}
         n = 0
 
@@ -85,6 +82,19 @@ def merge_intervals(df: DataFrame, keys: list[str], start: str, end: str) -> Dat
                     n = 0
         yield flush()
 
+    return days.mapInPandas(run, ", ".join(f"{k} string" for k in ks) + ", s int, e int")
+
+
+def merge_intervals(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """The keys (as text), kind (period, gap), start_date and end_date (yyyy-MM-dd, the end not included) of each entity.
+
+    start and end are dates; a null end, or 9999-12-31, is open and put out as 9999-12-31. Left out are rows with a null key or start, or
+    with an end not after the start. Intervals that overlap or touch form one period; a gap runs from a period to the next. Repeated rows
+    change nothing, other columns are ignored, and an empty table gives no rows."""
+    ship(df.sparkSession)
+    days = valid_days(df, keys, start, end)
+    ks = days.columns[:-2]
+
     def final(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, state, out = None, IntervalMap(), []
 
@@ -94,7 +104,7 @@ def merge_intervals(df: DataFrame, keys: list[str], start: str, end: str) -> Dat
 
         def frame() -> pd.DataFrame:
             f = pd.DataFrame(out, columns=[*ks, "kind", "s", "e"])
-            f["s"], f["e"] = _day_names(f["s"].tolist()), _day_names(f["e"].tolist())
+            f["s"], f["e"] = day_names(f["s"].tolist()), day_names(f["e"].tolist())
             out.clear()
             return f
 
@@ -112,5 +122,5 @@ def merge_intervals(df: DataFrame, keys: list[str], start: str, end: str) -> Dat
         if out:
             yield frame()
 
-    merged = days.mapInPandas(partial, f"{held}, s int, e int").repartition(*ks).sortWithinPartitions(*ks, "s").mapInPandas(final, f"{held}, kind string, s string, e string")
+    merged = merged_by_task(days).repartition(*ks).sortWithinPartitions(*ks).mapInPandas(final, ", ".join(f"{k} string" for k in ks) + ", kind string, s string, e string")
     return merged.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], "kind", F.col("s").alias("start_date"), F.col("e").alias("end_date"))

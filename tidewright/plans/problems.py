@@ -12,6 +12,7 @@ from tidewright.functions.expr import micros, norm_id
 from tidewright.operators import changefeed, delivery, intervals, lateness, malformed, nested, orphans
 from tidewright.session import lookup_side, scratch
 from tidewright.sources import tables
+from tidewright.streaming import feeds
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -288,11 +289,24 @@ P6_MONTHS_SQL = (
 # 7. intervals
 
 
+def coverage_rows(rows: DataFrame) -> DataFrame:
+    return rows.select(norm_id("member_id").alias("member_id"), norm_id("plan_id").alias("plan_id"), F.least("coverage_start_date", "retro_effective_date").alias("start"), F.col("coverage_end_date").alias("end"))
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "eligibility_event").select(
-        norm_id("member_id").alias("member_id"), norm_id("plan_id").alias("plan_id"), F.least("coverage_start_date", "retro_effective_date").alias("start"), F.col("coverage_end_date").alias("end")
-    )
-    return intervals.merge_intervals(rows, ["member_id", "plan_id"], "start", "end")
+    return intervals.merge_intervals(coverage_rows(table(spark, sf, "eligibility_event")), ["member_id", "plan_id"], "start", "end")
+
+
+def p7_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The coverages as a stream in four micro-batches that have nothing to do with their order, the maps held in keyed state."""
+    path, out = scratch(spark, "coverages"), tables.Table(spark, scratch(spark, "periods"))
+    rows = table(spark, sf, "eligibility_event").select("eligibility_event_id", "member_id", "plan_id", "coverage_start_date", "retro_effective_date", "coverage_end_date")
+    for k in range(4):
+        rows.filter(F.pmod(F.xxhash64("eligibility_event_id"), F.lit(4)) == k).coalesce(1).write.mode("append").parquet(path)
+    periods = feeds.merged_periods(coverage_rows(feeds.read_feed(spark, path, rows.schema, 1)), ["member_id", "plan_id"], "start", "end")
+    q = periods.writeStream.outputMode("update").foreachBatch(lambda b, _: out.upsert(b, ["member_id", "plan_id"]) and None)
+    q.option("checkpointLocation", scratch(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return out.read().select("member_id", "plan_id", F.inline("spans"))
 
 
 P7_SQL = """
@@ -319,6 +333,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_months": p6_months,
     "p6_batches": p6_batches,
     "p7_found": p7_found,
+    "p7_stream": p7_stream,
 }
 SQL = {
     "p1_found": P1_SQL,
@@ -333,4 +348,5 @@ SQL = {
     "p6_months": P6_MONTHS_SQL,
     "p6_batches": P6_MONTHS_SQL,
     "p7_found": P7_SQL,
+    "p7_stream": P7_SQL,
 }

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewright.operators.intervals import OPEN, IntervalMap
+from tidewright.operators.intervals import IntervalMap, day_names, merged_by_task, valid_days
 from tidewright.operators.relational import latest_by
 from tidewright.session import ship
 from tidewright.sources.tables import Table
@@ -54,20 +54,28 @@ def windowed_counts(stream: DataFrame, ts: str, keys: list[str], width: str, lat
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness).groupBy(F.window(ts, width), *keys).agg(F.count("*").alias("n"))
 
 
-def merged_periods(stream: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """The periods of each key whenever rows for it arrive: key, periods (JSON list of [start, end] in days since 1970). The interval map of
-    a key is its state."""
+SPANS = "array<struct<kind:string,start_date:string,end_date:string>>"
+
+
+def merged_periods(stream: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """The periods and gaps of each entity whenever rows for it arrive, in whatever order: the keys (as text) and spans, an array of (kind, start_date,
+    end_date). See intervals.merge_intervals for which rows count and how they are put out. The ordered map of an entity's disjoint
+    intervals is its state; rows are merged within their tasks before they go to it."""
     ship(stream.sparkSession)
+    days = merged_by_task(valid_days(stream, keys, start, end))
+    ks = days.columns[:-2]
 
     def update(k: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         m = IntervalMap()
         if state.exists:
-            m.starts, m.ends = (list(x) for x in json.loads(state.get[0]))
+            m.starts, m.ends = (np.frombuffer(bytes(x), np.int32).tolist() for x in state.get)
         for p in parts:
             for s, e in zip(p["s"].tolist(), p["e"].tolist()):
                 m.insert(s, e)
-        state.update((json.dumps([m.starts, m.ends]),))
-        yield pd.DataFrame({"key": [k[0]], "periods": [json.dumps(list(zip(m.starts, m.ends)))]})
+        state.update(tuple(np.array(x, np.int32).tobytes() for x in (m.starts, m.ends)))
+        rows = [("period", s, e) for s, e in zip(m.starts, m.ends)] + [("gap", s, e) for s, e in m.gaps()]
+        first, last = day_names([r[1] for r in rows]), day_names([r[2] for r in rows])
+        yield pd.DataFrame([(*k, [{"kind": r[0], "start_date": s, "end_date": e} for r, s, e in zip(rows, first, last)])], columns=[*ks, "spans"])
 
-    rows = stream.select(F.col(key).cast("string").alias("key"), F.unix_date(start).alias("s"), F.coalesce(F.unix_date(end), F.lit(OPEN)).alias("e")).filter("key is not null and e > s")
-    return rows.groupBy("key").applyInPandasWithState(update, "key string, periods string", "map string", "update", "NoTimeout")
+    out = days.groupBy(*ks).applyInPandasWithState(update, ", ".join(f"{k} string" for k in ks) + f", spans {SPANS}", "starts binary, ends binary", "update", "NoTimeout")
+    return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], "spans")
