@@ -53,15 +53,22 @@ def test_guard(spark):
     for sql in (
         "SELECT * FROM ok_view", "SELECT id FROM secret", "SELECT id FROM ok_view WHERE id IN (SELECT id FROM secret)", "SELECT id FROM ok_view WHERE EXISTS (SELECT 1 FROM secret)", "SELECT (SELECT max(id) FROM secret) AS m FROM ok_view", "WITH c AS (SELECT id FROM secret) SELECT id FROM c",
         "SELECT id FROM `secret`", "SELECT id FROM ok_view UNION SELECT id FROM secret", "DROP TABLE ok_view", "INSERT INTO ok_view VALUES (1)", "CREATE TABLE t AS SELECT id FROM ok_view", "SELECT id FROM ok_view; SELECT id FROM secret", "SET x = 1", "SELECT id FROM range(5)", "nonsense", "SELECT a.id FROM ok_view a, LATERAL (SELECT s.id FROM secret s) b",
-        "SELECT id FROM parquet.`/tmp/x`",
+        "SELECT id FROM parquet.`/tmp/x`", "SELECT reflect('java.lang.System', 'getProperty', 'user.dir') AS x FROM ok_view", "SELECT java_method('java.lang.System', 'exit', 1) AS x FROM ok_view", "SELECT try_reflect('java.lang.System', 'getProperty', 'user.dir') AS x FROM ok_view",
+        "SELECT upper(reflect('java.lang.System', 'getProperty', 'user.dir')) AS x FROM ok_view", "SELECT id FROM ok_view WHERE reflect('java.lang.System', 'getProperty', 'a') = 'b'", "SELECT id FROM ok_view ORDER BY raise_error('x')", "SELECT system.builtin.reflect('a', 'b') AS x FROM ok_view", "SELECT input_file_name() AS f FROM ok_view",
+        "SELECT t.c FROM ok_view LATERAL VIEW stack(2, 1, 2) t AS c", "SELECT transform(array(1), x -> raise_error('x')) AS y FROM ok_view", "SELECT IDENTIFIER('reflect')('java.lang.System', 'getProperty', 'user.dir') AS x FROM ok_view", "SELECT sum(id) OVER (ORDER BY reflect('a', 'b')) AS x FROM ok_view",
     ):
         with pytest.raises(guard.Blocked):
             guard.guarded_sql(spark, sql, allow)
     assert guard.guarded_sql(spark, "SELECT id FROM ok_view", allow, max_rows=2).count() == 2
+    for cap, sql, n, cut in ((2, "SELECT id FROM ok_view LIMIT 500", 2, True), (2, "SELECT id FROM ok_view LIMIT 1", 1, False), (3, "SELECT id FROM ok_view", 3, False)):
+        got = guard.answer(spark, sql, allow, cap)
+        assert got.rows.count() == n and got.truncated == cut
     log = []
-    with pytest.raises(Exception):
-        guard.guarded_sql(spark, "SELECT no_such FROM ok_view", allow, audit=log)
-    assert log[0][1] == "ERROR"
+    for sql in ("SELECT no_such FROM ok_view", "SELECT CAST('x' AS INT) AS n FROM ok_view"):  # the second fails only as it runs
+        with pytest.raises(Exception):
+            guard.guarded_sql(spark, sql, allow, audit=log)
+    guard.guarded_sql(spark, "SELECT max(id) AS m FROM ok_view", allow, audit=log)
+    assert [x[1] for x in log] == ["ERROR", "ERROR", "SUCCESS"]
 
 
 def test_search(spark, rows):

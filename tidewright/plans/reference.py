@@ -719,7 +719,7 @@ def claims_model(spark: SparkSession, sf: str) -> layer.Model:
 
 @query(f"WITH {_MONTHS}, n AS (SELECT month, count(*) AS mm FROM mm GROUP BY 1), c AS (SELECT date_trunc('month', service_from_date)::DATE AS month, sum(paid_amount)::DOUBLE AS paid FROM fact_claim_line GROUP BY 1) SELECT coalesce(c.month, n.month) AS month, paid AS paid_amount, mm AS member_months, paid / nullif(mm, 0) AS pmpm FROM c FULL JOIN n ON c.month IS NOT DISTINCT FROM n.month")
 def sem2_metric_query(spark, sf):
-    return claims_model(spark, sf).query(["paid", "member_months", "pmpm"], ["period"], limit=100_000)
+    return claims_model(spark, sf).query(["paid", "member_months", "pmpm"], ["period"])
 
 
 @query("SELECT claim_type, count(DISTINCT claim_id) AS claim_count, count(DISTINCT CASE WHEN claim_status = 'DENIED' THEN claim_id END)::DOUBLE / nullif(count(DISTINCT claim_id), 0) AS denial_rate FROM fact_claim_line GROUP BY 1")

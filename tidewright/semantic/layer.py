@@ -46,9 +46,9 @@ class Model:
             return names[wanted]
         raise KeyError(f"{name}: unknown; close to {difflib.get_close_matches(wanted, names, 3)}")
 
-    def query(self, metrics: list[str], dimensions: list[str] = (), filters: list[str] = (), limit: int = 1000) -> DataFrame:
-        """The metrics by the dimensions; filters are SQL conditions on dimensions and hold for every table. At most `limit` rows, the first
-        by the dimensions' order."""
+    def query(self, metrics: list[str], dimensions: list[str] = (), filters: list[str] = (), limit: int | None = None) -> DataFrame:
+        """The metrics by the dimensions; filters are SQL conditions on dimensions and hold for every table. With a limit the first rows
+        by the dimensions' order, otherwise all, in no order."""
         wanted, dims = [self.resolve(m) for m in metrics], [self.resolve(d) for d in dimensions]
         base = list(dict.fromkeys(b for m in wanted for b in (self.metrics[m].over or (m,))))
         by_table: dict[str, list[str]] = {}
@@ -75,7 +75,7 @@ class Model:
                 out = out.crossJoin(agg)  # one row each
         ratios = {m: F.col(self.metrics[m].over[0]) / F.nullif(F.col(self.metrics[m].over[1]).cast("double"), F.lit(0.0)) for m in wanted if self.metrics[m].over}
         out = out.select(*dims, *[ratios[m].alias(m) if m in ratios else F.col(m) for m in wanted])
-        return out.orderBy(*dims).limit(limit) if dims else out
+        return out.orderBy(*dims).limit(limit) if dims and limit is not None else out
 
     def registry(self, spark: SparkSession) -> DataFrame:
         rows = [(m.name, m.table, "RATIO" if m.over else "BASE", m.additive, m.certified, sorted(self.dimensions.get(m.table, ())), m.description) for m in self.metrics.values()]
