@@ -67,15 +67,50 @@ def test_watermark_never_goes_back(spark, tmp_path, rows):
     assert t.read().count() == 1 and marks.last("p") == datetime(2024, 1, 9)
 
 
-TEXT = "ISA*00*          *00*          *ZZ*S*ZZ*R*070118*1200*^*00501* 000000907*0*P*<~\nST*837*1~HL*1**20*1~NM1*85*2*CLINIC******9001~HL*2*1*22*0~NM1*IL*1*SMITH*J***MI**M1~NM1*PR*2*PAY*****PI*P1~CLM*C1*53.96***11<B<1~HI*BK<6268*BF<78930~LX*1~SV1*HC<87086*31.96*UN*1~DTP*472*D8*20070118~LX*2~SV1*HC<1*22*UN*2~HL*3*1*22*0~CLM*C2*5***12<B<1~SV1*HC<2*5*UN*1~IEA*1*907~\n"
+ISA = "ISA*00*          *00*          *ZZ*NORTHQUAY*ZZ*HARBOR*240301*0915*^*00501*000004711*0*P*<"
+TEXT = "~\r\n".join([
+    ISA, "GS*HC*NORTHQUAY", "ST*837*4711", "HL*1**20*1", "NM1*85*2*GROVE*****XX*9000000017",
+    "HL*2*1*22*0", "NM1*IL*1*MARLOW*K****MI*M-77", "NM1*PR*2*COBALT*****PI*PYR3", "CLM*K1*80.5***21<A<1", "HI*BF<W10*BK<Y20**BF", "SV1*HC<P9*10.5*UN*1", "LX*4", "SV1*HC<P8<25*70*UN*2", "DTP*472*D8*20240229", "DTP*472*D8*20240230",
+    "HL*3*1*22*0", "CLM*K2*x***", "LX*1", "SV1*HC*5*UN*1", "HL*4*3*23*0", "REF*G1*" + "*".join(f"e{i}" for i in range(2, 131)), "IEA*1*4711", "",
+])
 
 
 def test_x12(spark, rows):
-    segs = x12.parse_interchange(spark.createDataFrame([("f", TEXT), ("empty", ""), ("none", None)], "file_name string, text string"))
-    assert segs.filter("record_key = 'f'").count() == 18 and segs.select("control_number").distinct().first()[0] == "000000907"
-    assert rows(x12.claim_headers(segs).select("claim_seq", "claim_id", F.col("charge_amount").cast("string"), "place_of_service", "member_id", "payer_id", "billing_npi", F.col("service_date").cast("string"))) == [(1, "C1", "53.96", "11", "M1", "P1", "9001", "2007-01-18"), (2, "C2", "5.00", "12", None, None, "9001", None)]
-    assert rows(x12.claim_lines(segs).select("claim_seq", "line_number", "procedure_code", F.col("service_date").cast("string"))) == [(1, 1, "87086", "2007-01-18"), (1, 2, "1", None), (2, None, "2", None)]
-    assert rows(x12.claim_diagnoses(segs).drop("record_key")) == [(1, 1, "BK", "6268", True), (1, 2, "BF", "78930", False)]
+    files = spark.createDataFrame([("f", TEXT), ("empty", ""), ("none", None), ("first", "HL*1**22*0~CLM*Z*1~")], "file_name string, text string")
+    segs = x12.parse_interchange(files)
+    mine = segs.filter("record_key = 'f'")
+    assert mine.count() == 22 and mine.select("control_number").distinct().first()[0] == "000004711"
+    assert [r.segment_index for r in mine.orderBy("segment_index").collect()] == list(range(22))
+    assert {r.claim_seq: r.n for r in mine.groupBy("claim_seq").agg(F.count("*").alias("n")).collect()} == {0: 5, 1: 10, 2: 7}
+    assert mine.filter("segment = 'REF'").select(F.size("elements"), F.element_at("elements", -1)).first() == (130, "e130")  # no element is cut off
+    assert segs.filter("record_key = 'first'").select("claim_seq").distinct().collect()[0][0] == 1 and "none" not in {r.record_key for r in segs.collect()}
+    got = rows(x12.claim_headers(mine).select("claim_seq", "claim_id", F.col("charge_amount").cast("string"), "place_of_service", "member_id", "payer_id", "billing_npi", "control_number", F.col("service_date").cast("string")))
+    assert got == [(1, "K1", "80.50", "21", "M-77", "PYR3", "9000000017", "000004711", "2024-02-29"), (2, "K2", None, None, None, None, "9000000017", "000004711", None)]
+    assert rows(x12.claim_lines(mine).select("claim_seq", "line_number", "procedure_code", F.col("service_date").cast("string"))) == sorted([(1, None, "P9", "2024-02-29"), (1, 4, "P8", "2024-02-29"), (2, 1, None, None)], key=repr)
+    assert rows(x12.claim_diagnoses(mine).drop("record_key")) == sorted([(1, 1, "BF", "W10", False), (1, 2, "BK", "Y20", True), (1, 3, "BF", None, False)], key=repr)
+
+
+def test_x12_files_get_a_status(spark, rows):
+    files = spark.createDataFrame([("f", TEXT), ("empty", ""), ("none", None), ("cut", ISA + "~ST*837*1~HL*1**22*0~"), ("other", TEXT.replace("*837*", "*835*"))], "file_name string, text string")
+    raw = x12.load_raw(files)
+    assert {r.source_file_name: r.natural_key for r in raw.collect()} == {"f": "000004711", "empty": None, "none": None, "cut": "000004711", "other": "000004711"}
+    out = x12.convert(raw).join(raw.select("bronze_event_id", "source_file_name"), "bronze_event_id")
+    assert {r.source_file_name: (r.record_status, r.quarantine_reason and r.quarantine_reason.split(":")[0]) for r in out.collect()} == {
+        "f": ("PROCESSED", None), "empty": ("QUARANTINE", "no interchange header (ISA) with a control number"), "none": ("QUARANTINE", "no interchange header (ISA) with a control number"),
+        "cut": ("QUARANTINE", "no interchange trailer (IEA)"), "other": ("QUARANTINE", "transaction type is not 837"),
+    }
+    segs = x12.parse_interchange(files.filter("file_name = 'f'"))
+    again = x12.document_segments(out.filter("document is not null"), "source_file_name", "document")
+    cols = ["record_key", "segment_index", "segment", "claim_seq", "elements"]
+    assert rows(again.select(*cols)) == rows(segs.select(*cols))  # what was parsed, written and read again
+
+
+def test_x12_documents_with_objects_and_gaps(spark, rows):
+    doc = {"segments": [{"_segment": "ISA", "13": "9"}, {"_segment": "CLM", "claim_seq": "1", "01": "K", "02": 5, "05": {"01": "11", "03": "1"}}, None, {"claim_seq": 1, "01": "x"}, {"_segment": "HI", "claim_seq": 1, "02": {"01": "BK", "02": "W1"}, "note": "z"}, {"_segment": "SE", "claim_seq": "one"}]}
+    df = spark.createDataFrame([("d", json.dumps(doc)), ("s", json.dumps(json.dumps({"segments": json.dumps(doc["segments"][:1])}))), ("bad", "{"), ("none", None)], "k string, p string")
+    got = {(r.record_key, r.segment_index): (r.segment, r.claim_seq, r.elements) for r in x12.document_segments(df, "k", "p").collect()}
+    assert got == {("d", 0): ("ISA", 0, [None] * 12 + ["9"]), ("d", 1): ("CLM", 1, ["K", "5", None, None, "11<<1"]), ("d", 3): (None, 1, ["x"]), ("d", 4): ("HI", 1, [None, "BK<W1"]), ("d", 5): ("SE", 0, []), ("s", 0): ("ISA", 0, [None] * 12 + ["9"])}
+    assert rows(x12.claim_diagnoses(x12.document_segments(df, "k", "p")).drop("record_key")) == [(1, 1, "BK", "W1", True)]
 
 
 def test_streams(spark, tmp_path, rows):

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidewright.functions import expr as E
 from tidewright.operators import relational as R
-from tidewright.plans.problems import table
+from tidewright.plans.problems import _forms, table
 from tidewright.quality import checks
 from tidewright.semantic import guard, layer, search
 from tidewright.session import lookup_side, scratch
@@ -492,13 +492,15 @@ def can10_party_master(spark, sf):
 
 # X12
 
+CLAIMS_A_FILE = 64
+
 
 def x12_claims(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").filter("o_custkey is not null")
     li = lines(spark, sf).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", F.concat(F.lit("P"), F.col("l_partkey")).alias("procedure_code"), money("l_extendedprice").alias("charge"), F.col("l_quantity").cast("int").alias("units"), F.to_date("l_shipdate").alias("service_date")))).alias("lines"))
     w = Window.partitionBy("batch").orderBy("o_orderkey")
     return (
-        o.join(li, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("batch", F.col("o_orderkey") % 500).withColumn("claim_seq", F.row_number().over(w))
+        o.join(li, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("batch", F.floor(F.col("o_orderkey") / CLAIMS_A_FILE)).withColumn("claim_seq", F.row_number().over(w))
         .select("batch", "claim_seq", F.concat(F.lit("C"), F.col("o_orderkey")).alias("claim_id"), F.concat(F.lit("M"), F.col("o_custkey")).alias("member_id"), F.lit("PAYER1").alias("payer_id"), F.lit("9000000001").alias("npi"), money("o_totalprice").alias("charge"), F.col("o_orderstatus").alias("diagnosis_code"), "lines")
     )
 
@@ -523,6 +525,61 @@ def x12_8_claim_diagnoses(spark, sf):
     return x12.claim_diagnoses(x12_segments(spark, sf)).groupBy("diagnosis_code", "is_principal").agg(F.count("*").alias("n"))
 
 
+@query(f"WITH {_LINES}, b AS (SELECT DISTINCT o_orderkey // {CLAIMS_A_FILE} AS b FROM orders JOIN l ON l_orderkey = o_orderkey WHERE o_custkey IS NOT NULL) SELECT sha256('f' || b::VARCHAR) AS bronze_event_id, lpad(b::VARCHAR, 9, '0') AS natural_key, 'PROCESSED' AS record_status, NULL AS quarantine_reason FROM b UNION ALL SELECT sha256('broken'), NULL, 'QUARANTINE', 'no interchange header (ISA) with a control number' UNION ALL SELECT sha256('empty'), NULL, 'QUARANTINE', 'no interchange header (ISA) with a control number' UNION ALL SELECT sha256('other'), '7', 'QUARANTINE', 'transaction type is not 837: 835'")
+def x12_4_status(spark, sf):
+    """Files landed, converted and given their status; three of them are none that can be converted."""
+    files = x12.write_interchange(x12_claims(spark, sf)).select(F.concat(F.lit("f"), F.col("batch")).alias("file_name"), "text")
+    bad = spark.createDataFrame([("broken", "ST*837*1~CLM*C1*5~"), ("empty", ""), ("other", "ISA*" + "*".join(["00"] * 12) + "*7~ST*835*1~IEA*1*7~")], files.schema)
+    raw = x12.load_raw(files.unionByName(bad))
+    return raw.select("bronze_event_id", "natural_key").join(x12.convert(raw).drop("document"), "bronze_event_id")
+
+
+def x12_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return x12.document_segments(table(spark, sf, "br_raw_x12_claim_json"), "bronze_event_id", "payload")
+
+
+def _element(k: str) -> str:
+    """SQL: element k of a segment e as text, a composite's parts joined by <."""
+    parts = " || '<' || ".join(f"coalesce(e->'$.{k}'->>'$.0{i}', '')" for i in (1, 2, 3))
+    return f"nullif(CASE json_type(e->'$.{k}') WHEN 'OBJECT' THEN rtrim({parts}, '<') ELSE e->>'$.{k}' END, '')"
+
+
+_DATE = f"CASE WHEN regexp_full_match({_element('03')}, '[0-9]{{8}}') THEN TRY_CAST(try_strptime({_element('03')}, '%Y%m%d') AS DATE) END"
+_DOCUMENTS = f"""
+d AS (SELECT bronze_event_id AS k, unnest({{roots}}) AS r FROM (SELECT bronze_event_id, CASE WHEN json_valid(payload) THEN payload::JSON END AS v FROM br_raw_x12_claim_json)),
+u AS (SELECT k, unnest({{items}}) AS e, generate_subscripts({{items}}, 1) - 1 AS i FROM (SELECT k, r->'$.segments' AS c FROM d)),
+g AS (SELECT k, i, e, e->>'$._segment' AS s, coalesce(TRY_CAST(e->>'$.claim_seq' AS INT), 0) AS q FROM u WHERE json_type(e) = 'OBJECT')
+""".format(roots=_forms("v"), items=_forms("c"))
+
+
+@query(f"""WITH {_DOCUMENTS}, p AS (SELECT k, i, q, s, {_element('01')} AS e1, {_element('02')} AS e2, {_element('05')} AS e5, {_element('09')} AS e9, trim({_element('13')}) AS e13, {_DATE} AS d FROM g),
+a AS (SELECT k, q, arg_min(e1, i) FILTER (s = 'CLM') AS claim_id, TRY_CAST(arg_min(e2, i) FILTER (s = 'CLM') AS DECIMAL(18,2)) AS charge, split_part(arg_min(e5, i) FILTER (s = 'CLM'), '<', 1) AS place, arg_min(e9, i) FILTER (s = 'NM1' AND e1 = 'IL') AS member_id, arg_min(e9, i) FILTER (s = 'NM1' AND e1 = 'PR') AS payer_id,
+  arg_min(e9, i) FILTER (s = 'NM1' AND e1 = '82') AS rendering_npi, arg_min(e9, i) FILTER (s = 'NM1' AND e1 = '85') AS billing, min(d) FILTER (s = 'DTP' AND e1 = '472') AS service_date, max(e13) FILTER (s = 'ISA') AS control FROM p GROUP BY 1, 2),
+w AS (SELECT *, max(billing) FILTER (q = 0) OVER (PARTITION BY k) AS b0, max(control) OVER (PARTITION BY k) AS c0 FROM a)
+SELECT k AS record_key, q AS claim_seq, c0 AS control_number, claim_id, charge::DOUBLE AS charge_amount, nullif(place, '') AS place_of_service, member_id, payer_id, rendering_npi, coalesce(billing, b0) AS billing_npi, service_date FROM w WHERE claim_id IS NOT NULL""")
+def x12_6_documents(spark, sf):
+    """Claim headers of the parsed documents as they came."""
+    out = x12.claim_headers(x12_documents(spark, sf))
+    return out.select("record_key", "claim_seq", "control_number", "claim_id", F.col("charge_amount").cast("double").alias("charge_amount"), "place_of_service", "member_id", "payer_id", "rendering_npi", "billing_npi", "service_date")
+
+
+@query(f"""WITH {_DOCUMENTS}, p AS (SELECT k, i, q, s, {_element('01')} AS e1, {_element('02')} AS e2, {_element('04')} AS e4, {_DATE} AS d FROM g),
+w AS (SELECT *, last_value(CASE WHEN s = 'LX' THEN e1 END IGNORE NULLS) OVER (PARTITION BY k, q ORDER BY i ROWS UNBOUNDED PRECEDING) AS lx, first_value(CASE WHEN s = 'DTP' AND e1 = '472' THEN d END IGNORE NULLS) OVER (PARTITION BY k, q ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS sd FROM p)
+SELECT k AS record_key, q AS claim_seq, i::INT AS segment_index, TRY_CAST(lx AS INT) AS line_number, nullif(split_part(e1, '<', 2), '') AS procedure_code, TRY_CAST(e2 AS DECIMAL(18,4))::DOUBLE AS charge_amount, TRY_CAST(e4 AS DECIMAL(18,4))::DOUBLE AS units, sd AS service_date FROM w WHERE s = 'SV1'""")
+def x12_7_documents(spark, sf):
+    """Claim lines of the parsed documents, with the number before and the date after them."""
+    out = x12.claim_lines(x12_documents(spark, sf))
+    return out.withColumns({c: F.col(c).cast("double") for c in ("charge_amount", "units")})
+
+
+@query(f"""WITH {_DOCUMENTS}, h AS (SELECT k, q, i, e, unnest(list_filter(json_keys(e), lambda x: regexp_full_match(x, '[0-9]+'))) AS n FROM g WHERE s = 'HI'),
+c AS (SELECT k, q, i, n, CASE json_type(json_extract(e, '$.' || n)) WHEN 'OBJECT' THEN json_extract_string(e, '$.' || n || '.01') || '<' || coalesce(json_extract_string(e, '$.' || n || '.02'), '') ELSE json_extract_string(e, '$.' || n) END AS x FROM h)
+SELECT k AS record_key, q AS claim_seq, row_number() OVER (PARTITION BY k, q ORDER BY i, n::INT)::INT AS position, nullif(split_part(x, '<', 1), '') AS qualifier, nullif(split_part(x, '<', 2), '') AS diagnosis_code, coalesce(split_part(x, '<', 1) = 'BK', false) AS is_principal FROM c WHERE x <> ''""")
+def x12_8_documents(spark, sf):
+    """Diagnoses of the parsed documents, with their place in the claim."""
+    return x12.claim_diagnoses(x12_documents(spark, sf))
+
+
 # dimensions, facts and marts
 
 
@@ -733,7 +790,13 @@ def sem7_guarded_sql(spark, sf):
     return guard.guarded_sql(spark, "WITH c AS (SELECT c_mktsegment FROM serving_customer) SELECT c_mktsegment, count(*) AS n FROM c GROUP BY c_mktsegment", {"serving_customer"})
 
 
-@query()
+_TERMS = ("blue", "small", "widget")
+
+
+@query(f"""WITH t AS (SELECT p_partkey, list_filter(regexp_split_to_array(lower(p_name), '[^a-z0-9]+'), lambda x: x <> '') AS t FROM part), n AS (SELECT p_partkey, len(t) AS n, [{', '.join(f"len(list_filter(t, lambda x: x = '{w}'))" for w in _TERMS)}] AS c FROM t),
+s AS (SELECT count(*) AS docs, avg(n) AS mean, [{', '.join(f'count(*) FILTER (c[{i}] > 0)' for i in (1, 2, 3))}] AS df FROM n),
+r AS (SELECT p_partkey, {' + '.join(f'ln(1 + (docs - df[{i}] + 0.5) / (df[{i}] + 0.5)) * c[{i}] * 2.2 / (c[{i}] + 1.2 * (0.25 + 0.75 * n / mean))' for i in (1, 2, 3))} AS score FROM n, s)
+SELECT p_partkey, round(score, 6) AS score FROM r WHERE score > 0 ORDER BY round(score, 9) DESC, p_partkey LIMIT 10""")
 def sem11_search(spark, sf):
     """The ten parts whose names fit some words best."""
-    return search.search(table(spark, sf, "part"), "p_partkey", "p_name", "small blue widget", 10)
+    return search.search(table(spark, sf, "part"), "p_partkey", "p_name", "small blue widget", 10).withColumn("score", F.round("score", 6))

@@ -15,7 +15,7 @@ def tokens(c: Column) -> Column:
 
 def search(corpus: DataFrame, key: str, text: str, query: str, k: int = 10, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """The k rows that fit the query best: key, score. Only rows that hold a term of the query are scored; the statistics are of all
-    rows. Ties go by key; a query without terms, or an empty corpus, gives none."""
+    rows. Ties, to nine places, go by key; a query without terms, or an empty corpus, gives none."""
     terms = sorted({t for t in re.split(r"[\W_]+", query.lower()) if t})
     rows = corpus.select(F.col(key).alias("_k"), tokens(F.coalesce(F.col(text), F.lit(""))).alias("_t")).withColumn("_n", F.size("_t"))
     is_term = lambda t: lambda x: x == F.lit(t)
@@ -32,4 +32,4 @@ def search(corpus: DataFrame, key: str, text: str, query: str, k: int = 10, k1:
         idf = math.log(1 + (n - df + 0.5) / (df + 0.5))
         tf = F.col(f"c{i}").cast("double")
         score = score + F.lit(idf) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("_n") / F.lit(float(mean))))
-    return counted.withColumn("score", score).filter("score > 0").orderBy(F.col("score").desc(), "_k").limit(k).select(F.col("_k").alias(key), "score")
+    return counted.withColumn("score", score).filter("score > 0").orderBy(F.round("score", 9).desc(), "_k").limit(k).select(F.col("_k").alias(key), "score")
