@@ -220,9 +220,9 @@ def gld9_quality_summary(spark, sf):
     return q.unionByName(c).orderBy(F.col("n").desc_nulls_last())
 
 
-@query("SELECT load_id, batch_id, count(*) AS row_count, 'LOADED' AS status FROM br_raw_claim_event WHERE load_id LIKE 'LOAD-77%' GROUP BY 1, 2")
+@query("SELECT load_id, batch_id, count(*) AS row_count, 'LOADED' AS status FROM br_raw_claim_event GROUP BY 1, 2")
 def src7_load_ledger(spark, sf):
-    """The ledger of all loads. Its SQL still counts the loads LOAD-77... only."""
+    """The ledger of all loads."""
     return table(spark, sf, "br_raw_claim_event").groupBy("load_id", "batch_id").agg(F.count("*").alias("row_count"), F.lit("LOADED").alias("status"))
 
 

@@ -309,9 +309,10 @@ def jn8_asof_join(spark, sf):
     return R.asof_join(df.filter("event_type = 'purchase'").select("user_id", "ts", "event_id"), views, ["user_id"], "ts", ["view_id"]).select("event_id", "view_id")
 
 
-@query(f"WITH {_SPANS}, w AS (SELECT *, max(e) OVER (PARTITION BY m, p ORDER BY s, e, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s WHERE e > s) SELECT m AS member_id, p AS plan_id, id, s, e FROM w WHERE s < before")
+@query(f"""WITH {_SPANS}, o AS (SELECT m, p, id, s, coalesce(e, DATE '9999-12-31') AS e FROM s)
+SELECT a.m AS member_id, a.p AS plan_id, a.id AS span_id_a, a.s AS start_date_a, a.e AS end_date_a, b.id AS span_id_b, b.s AS start_date_b, b.e AS end_date_b FROM o a JOIN o b ON a.m = b.m AND a.p = b.p AND a.id < b.id AND a.s < b.e AND a.e > b.s""")
 def jn9_overlap_pairs(spark, sf):
-    """The pairs of coverages that overlap, open ends included. Its SQL still has only the later rows, without open ends."""
+    """The pairs of coverages that overlap, open ends included."""
     spans = coverages(spark, sf).select("member_id", "plan_id", F.col("id").alias("span_id"), F.col("s").alias("start_date"), F.col("e").alias("end_date"))
     return R.overlap_pairs(spans, ["member_id", "plan_id"], "span_id", "start_date", "end_date")
 
