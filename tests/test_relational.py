@@ -83,3 +83,29 @@ def test_expressions(spark):
     assert tuple(first(E.div0(F.lit(1), F.lit(0)), E.ratio(F.lit(1), F.lit(0)))) == (0.0, None)
     assert tuple(first(E.loose_boolean(s("Y")), E.loose_boolean(s("on")), E.loose_boolean(s(None)))) == (True, False, False)
     assert tuple(first(E.first_failing([("A", F.lit(None).cast("boolean")), ("B", F.lit(True))]), E.first_failing([]))) == ("B", None)
+
+
+def test_hot_keys_are_spread(spark, rows, monkeypatch):
+    r = random.Random(5)
+    left = spark.createDataFrame([(r.choice(["hot"] * 6 + ["a", "b", None]), i) for i in range(300)], "k string, i int")
+    right = spark.createDataFrame([("hot", 1), ("a", 2), ("a", 3), (None, 4), ("z", 5)], "k string, v int")
+    for how in ("inner", "left"):
+        want = rows(left.join(right, "k", how))
+        assert rows(R.hot_join(left, right, ["k"], how)) == want
+        with monkeypatch.context() as m:
+            m.setattr(R, "HOT_LEAST", 20)
+            m.setattr(R, "HOT_SHARE", 10**9)
+            got = R.hot_join(left, right, ["k"], how)
+            assert rows(got) == want
+        assert rows(R.hot_join(left.limit(0), right, ["k"], how)) == []
+
+
+def test_chunks_carry_what_they_lack(spark, rows):
+    r = random.Random(6)
+    data = [(r.choice(["x", "y", None]), t, i, r.choice([None, None, None, i])) for i, t in enumerate(r.sample(range(4000), 300))]
+    df = spark.createDataFrame(data, "k string, t int, i int, v int")
+    plain = R.neighbors(df, ["k"], "t", {"b": F.col("v")}, {"a": F.col("v")})
+    for width in (1, 50, 900, 10_000):
+        assert rows(R.neighbors(df, ["k"], "t", {"b": F.col("v")}, {"a": F.col("v")}, F.floor(F.col("t") / width))) == rows(plain)
+    left, right = df.filter("v is null").select("k", "t", "i"), df.filter("v is not null").select("k", "t", "v")
+    assert rows(R.asof_join(left, right, ["k"], "t", ["v"], lambda c: F.floor(c / 70))) == rows(R.asof_join(left, right, ["k"], "t", ["v"]))

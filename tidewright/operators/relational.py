@@ -72,30 +72,71 @@ def date_spine(spark, start: str, end: str) -> DataFrame:
     return spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(start)), F.date_sub(F.to_date(F.lit(end)), 1))).alias("day"))
 
 
-def neighbors(df: DataFrame, partition: list[str], position: str, before: dict[str, Column], after: dict[str, Column]) -> DataFrame:
+HOT_LEAST, HOT_SHARE = 10_000, 10_000
+
+
+def hot_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """left joined with right (inner or left) by shuffle, whatever key holds most rows of left. A key with more than one in HOT_SHARE of them is hot, so there
+    are fewer than HOT_SHARE such keys: its rows are spread over tasks in proportion to their number, and its rows in right are repeated as often.
+    Rows of left with a null key match nothing and are spread by hash."""
+    limit = max(HOT_LEAST, left.count() // HOT_SHARE)
+    hot = F.broadcast(left.dropna(subset=keys).groupBy(*keys).count().filter(F.col("count") > limit).select(*keys, F.ceil(F.col("count") / limit).cast("int").alias("_salts")))
+    rest = [c for c in left.columns if c not in keys]
+    null = None
+    for k in keys:
+        null = F.col(k).isNull() if null is None else null | F.col(k).isNull()
+    spread = F.xxhash64(*rest) if rest else F.lit(0)
+    salted = left.join(hot, keys, "left").withColumn("_salt", F.pmod(spread, F.when(null, 1 << 16).otherwise(F.coalesce("_salts", F.lit(1)))).cast("int")).drop("_salts")
+    many = right.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return salted.join(many, [*keys, "_salt"], how).drop("_salt")
+
+
+def neighbors(df: DataFrame, partition: list[str], position: str, before: dict[str, Column], after: dict[str, Column], chunk: Column | None = None) -> DataFrame:
     """Adds for each row the nearest value at or before it, and at or after it, in the partition (an as-of join by position in one sort).
-    The columns are null where they don't apply."""
-    w = Window.partitionBy(*partition).orderBy(position)
-    back, on = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    return df.select("*", *[F.last(c, ignorenulls=True).over(back).alias(k) for k, c in before.items()], *[F.first(c, ignorenulls=True).over(on).alias(k) for k, c in after.items()])
-
+    The columns are null where they don't apply.
 
-def asof_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, values: list[str]) -> DataFrame:
-    """Each left row with the values of the latest right row of its keys at or before it; null if there is none. Union and window
-    instead of a range join; right rows of one moment should be unique. Both sides have keys and `at`."""
+    chunk, which must never fall as position grows, cuts a partition into chunks that are sorted by tasks of their own; what a chunk lacks is carried over
+    from the nearest chunk that has it, of which there is one row per chunk. Without it a partition is one task's."""
+    keys = [*partition] if chunk is None else [*partition, "_chunk"]
+    rows = df if chunk is None else df.withColumn("_chunk", chunk)
+    w = Window.partitionBy(*keys).orderBy(position)
+    back, on = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    near = rows.select("*", *[F.last(c, ignorenulls=True).over(back).alias(k) for k, c in before.items()], *[F.first(c, ignorenulls=True).over(on).alias(k) for k, c in after.items()])
+    if chunk is None:
+        return near
+    last = lambda c: F.max_by(F.when(c.isNotNull(), c), F.when(c.isNotNull(), F.col(position)))
+    first = lambda c: F.min_by(F.when(c.isNotNull(), c), F.when(c.isNotNull(), F.col(position)))
+    ends = rows.groupBy(*keys).agg(*[last(c).alias(f"_l_{k}") for k, c in before.items()], *[first(c).alias(f"_f_{k}") for k, c in after.items()])
+    by = Window.partitionBy(*partition).orderBy("_chunk")
+    earlier, later = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
+    carried = ends.select(*keys, *[F.last(f"_l_{k}", ignorenulls=True).over(earlier).alias(f"_c_{k}") for k in before], *[F.first(f"_f_{k}", ignorenulls=True).over(later).alias(f"_c_{k}") for k in after])
+    same = None
+    for k in keys:
+        x = near[k].eqNullSafe(carried[k])
+        same = x if same is None else same & x
+    names = [*before, *after]
+    return near.join(carried, same, "left").select(*[near[c] for c in df.columns], *[F.coalesce(near[k], carried[f"_c_{k}"]).alias(k) for k in names])
+
+
+def asof_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, values: list[str], chunk=None) -> DataFrame:
+    """Each left row with the values of the latest right row of its keys at or before it; null if there is none. Union and nearest neighbours
+    instead of a range join; right rows of one moment should be unique. Both sides have keys and `at`. chunk: a function of the
+    column `at` that cuts keys with many rows (see neighbors)."""
     l = left.select(*keys, at, F.struct(*[c for c in left.columns if c not in keys and c != at]).alias("_l"), F.lit(1).alias("_side"), F.lit(None).cast(right.select(F.struct(*values)).schema[0].dataType).alias("_r"))
     r = right.select(*keys, at, F.lit(None).cast(l.schema["_l"].dataType).alias("_l"), F.lit(0).alias("_side"), F.struct(*values).alias("_r"))
-    w = Window.partitionBy(*keys).orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
-    out = l.unionByName(r).withColumn("_v", F.last("_r", ignorenulls=True).over(w)).filter("_side = 1")
+    both = l.unionByName(r).withColumn("_p", F.struct(at, "_side"))
+    out = neighbors(both, keys, "_p", {"_v": F.col("_r")}, {}, None if chunk is None else chunk(F.col(at))).filter("_side = 1")
     return out.select(*keys, at, "_l.*", *[F.col(f"_v.{v}").alias(v) for v in values])
 
 
 def range_join(points: DataFrame, spans: DataFrame, keys: list[str], at: str, start: str, end: str, width_days: int = 32) -> DataFrame:
-    """Points with the half-open spans that hold them: spans are cut into buckets of days, so that the join has an equal key."""
+    """Points with the half-open spans that hold them: spans are cut into buckets of days, so that the join has an equal key; the points of a hot
+    key and bucket are spread."""
     bucket = lambda c: F.floor(F.unix_date(c) / width_days)
     last = F.date_sub(F.col(end), 1)
     cut_ = spans.withColumn("_b", F.explode(F.sequence(bucket(F.col(start)), bucket(last))))
-    return points.withColumn("_b", bucket(F.col(at))).join(cut_, [*keys, "_b"]).filter((F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))).drop("_b")
+    met = hot_join(points.withColumn("_b", bucket(F.col(at))), cut_, [*keys, "_b"])
+    return met.filter((F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))).drop("_b")
 
 
 def allocate(amount: Column, weight: Column, partition: list[str]) -> Column:

@@ -189,12 +189,12 @@ def fct3_claim_adjustment(spark, sf):
 pt AS (SELECT upper(trim(member_id)) AS k, bool_or(coalesce(is_current, false)) AS has_current FROM dim_patient GROUP BY 1)
 SELECT change_id, plan_type, payer_name, status_name, has_current, strftime(service_from_date, '%Y%m%d')::INT AS date_key FROM fact_claim_line f LEFT JOIN pl ON upper(trim(f.plan_id)) = pl.k LEFT JOIN py ON upper(trim(f.payer_id)) = py.k LEFT JOIN st ON upper(trim(f.claim_status)) = st.k LEFT JOIN pt ON upper(trim(f.member_id)) = pt.k""")
 def gld1_semantic_base(spark, sf):
-    """Claim lines with the attributes of their dimensions: small ones are broadcast, members joined by shuffle."""
+    """Claim lines with the attributes of their dimensions: small ones are broadcast, members joined by shuffle with hot ones spread."""
     one = lambda n, k, v: table(spark, sf, n).select(E.norm_id(k).alias(f"_{k}"), v).filter(f"_{k} is not null").dropDuplicates([f"_{k}"])
     f = claims(spark, sf).select("change_id", E.norm_id("plan_id").alias("_plan_id"), E.norm_id("payer_id").alias("_payer_id"), E.norm_id("claim_status").alias("_status_code"), E.norm_id("member_id").alias("_member_id"), E.date_key(F.col("service_from_date")).alias("date_key"))
     out = f.join(lookup_side(one("dim_plan", "plan_id", "plan_type")), "_plan_id", "left").join(lookup_side(one("dim_payer", "payer_id", "payer_name")), "_payer_id", "left").join(lookup_side(one("ref_claim_status", "status_code", "status_name")), "_status_code", "left")
     members = table(spark, sf, "dim_patient").groupBy(E.norm_id("member_id").alias("_member_id")).agg(F.bool_or(F.coalesce("is_current", F.lit(False))).alias("has_current"))
-    return out.join(members, "_member_id", "left").select("change_id", "plan_type", "payer_name", "status_name", "has_current", "date_key")
+    return R.hot_join(out, members, ["_member_id"], "left").select("change_id", "plan_type", "payer_name", "status_name", "has_current", "date_key")
 
 
 @query(f"WITH {reference._MONTHS} SELECT p AS plan_id, month, count(*) AS member_months, count(DISTINCT m) AS members FROM mm GROUP BY 1, 2")

@@ -298,7 +298,7 @@ first_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OV
 def jn8_asof_neighbors(spark, sf):
     df = table(spark, sf, "events").withColumn("at", F.struct("ts", "event_id"))
     kind = lambda k: F.when(F.col("event_type") == k, F.col("event_id"))
-    return R.neighbors(df, ["user_id"], "at", {"view_before": kind("view")}, {"purchase_after": kind("purchase")}).select("event_id", "view_before", "purchase_after")
+    return R.neighbors(df, ["user_id"], "at", {"view_before": kind("view")}, {"purchase_after": kind("purchase")}, F.to_date("ts")).select("event_id", "view_before", "purchase_after")
 
 
 @query("""WITH c AS (SELECT user_id, ts, event_id AS view_id FROM events WHERE event_type = 'view' QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1)
@@ -306,7 +306,7 @@ SELECT e.event_id, c.view_id FROM (SELECT * FROM events WHERE event_type = 'purc
 def jn8_asof_join(spark, sf):
     df = table(spark, sf, "events")
     views = df.filter("event_type = 'view'").groupBy("user_id", "ts").agg(F.max("event_id").alias("view_id"))
-    return R.asof_join(df.filter("event_type = 'purchase'").select("user_id", "ts", "event_id"), views, ["user_id"], "ts", ["view_id"]).select("event_id", "view_id")
+    return R.asof_join(df.filter("event_type = 'purchase'").select("user_id", "ts", "event_id"), views, ["user_id"], "ts", ["view_id"], F.to_date).select("event_id", "view_id")
 
 
 @query(f"""WITH {_SPANS}, o AS (SELECT m, p, id, s, coalesce(e, DATE '9999-12-31') AS e FROM s)
