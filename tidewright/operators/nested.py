@@ -42,20 +42,20 @@ def parsed(text: Column) -> Column:
     )
 
 
-def kind(v: Column) -> Column:
-    """The first letter of a variant's type: O(bject), A(rray), S(tring), ..."""
-    return F.substring(F.schema_of_variant(v), 1, 1)
+def is_object(v: Column) -> Column:
+    """Whether a variant is an object: only that can be read as a struct, here one of a field that needn't exist, so that nothing is rendered."""
+    return F.try_variant_get(v, "$", "struct<_:string>").isNotNull()
 
 
 def unquoted(v: Column) -> Column:
-    """A string variant as the variant of the JSON text it holds; others as they are."""
-    return F.when(kind(v) == "S", parsed(F.try_variant_get(v, "$", "string"))).otherwise(v)
+    """Objects as they are; of others the variant of the JSON text that they hold, or are written as."""
+    return F.when(is_object(v), v).otherwise(parsed(F.try_variant_get(v, "$", "string")))
 
 
 def entries(v: Column) -> Column:
     """The entries of a collection in any of its forms (an array, a single object, or text that holds either), in place, nulls too;
     an empty array for anything else."""
-    listed = lambda x: F.coalesce(F.try_variant_get(x, "$", VARIANTS), F.when(kind(x) == "O", F.array(x)), F.array().cast(VARIANTS))
+    listed = lambda x: F.coalesce(F.try_variant_get(x, "$", VARIANTS), F.when(is_object(x), F.array(x)), F.array().cast(VARIANTS))
     return let(v, lambda x: F.coalesce(F.try_variant_get(x, "$", VARIANTS), let(unquoted(x), listed)))
 
 
@@ -73,7 +73,7 @@ def child_rows(roots: Column, child: Child) -> Column:
                 e.alias("object"),
             ),
         )
-        return F.filter(placed, lambda x: kind(x.object) == "O")
+        return F.filter(placed, lambda x: is_object(x.object))
 
     if not child.path:
         return objects(roots)

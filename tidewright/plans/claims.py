@@ -24,7 +24,7 @@ LATEST = "source_extract_ts", "ingest_ts"
 @GRAPH.model("br_raw_claim_event")
 def bronze_claim(raw: DataFrame) -> DataFrame:
     """Typed and keyed messages with a payload object, judged by rules, one row per natural key and digest."""
-    v = raw.select("bronze_event_id", *LATEST, "payload_hash", "payload", F.try_parse_json("payload").alias("v")).filter(nested.kind(F.col("v")) == "O")
+    v = raw.select("bronze_event_id", *LATEST, "payload_hash", "payload", F.try_parse_json("payload").alias("v")).filter(nested.is_object(F.col("v")))
     get = lambda p, t="string", d=None: E.variant_get(F.col("v"), f"$.{p}", t, d)
     typed = v.select(
         "bronze_event_id", *LATEST, "payload", F.coalesce("payload_hash", F.sha2("payload", 256)).alias("digest"), E.norm_id(get("claim_id")).alias("claim_id"), get("claim_version", "int", 0).alias("claim_version"), E.norm_id(get("member_id")).alias("member_id"),

@@ -226,10 +226,24 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
-def p5_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The flat claim lines."""
-    fields = {"line_number": "int", "procedure_code": "string", "service_date": "date", "units": "int", "charge_amount": "decimal(18,2)", "paid_amount": "decimal(18,2)"}
-    return nested.child_table(table(spark, sf, "br_raw_claim_event"), "bronze_event_id", "payload", CLAIM_CHILDREN[0], fields)
+#: The fields of the flat tables: type by name.
+CHILD_FIELDS = {
+    "p5_lines": ("br_raw_claim_event", "bronze_event_id", "payload", CLAIM_CHILDREN[0], {"line_number": "int", "procedure_code": "string", "service_date": "date", "units": "int", "charge_amount": "decimal(18,2)", "paid_amount": "decimal(18,2)"}),
+    "p5_diagnoses": ("br_raw_claim_event", "bronze_event_id", "payload", CLAIM_CHILDREN[1], {"diagnosis_position": "int", "diagnosis_type": "string"}),
+    "p5_procedures": ("br_raw_claim_event", "bronze_event_id", "payload", CLAIM_CHILDREN[2], {"procedure_position": "int", "procedure_date": "date"}),
+    "p5_demographics": ("eligibility_event", "eligibility_event_id", "demographics", MEMBER_CHILDREN[0], {"birth_year": "int", "gender": "string", "state": "string"}),
+}
+
+
+def _flat(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    source, key, text, child, fields = CHILD_FIELDS[name]
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        out = nested.child_table(table(spark, sf, source), key, text, child, fields)
+        return out.withColumns({f: F.col(f).cast("double") for f, t in fields.items() if t.startswith("decimal")})
+
+    run.__doc__ = f"The flat table of {child.name} objects, over all records."
+    return run
 
 
 def _forms(text: str) -> str:
@@ -238,10 +252,13 @@ def _forms(text: str) -> str:
     return f"CASE json_type({opened}) WHEN 'ARRAY' THEN from_json({opened}, '[\"json\"]') WHEN 'OBJECT' THEN [{opened}] END"
 
 
-def _child_sql(name: str, key: str, text: str, child: nested.Child) -> str:
+def _child_sql(name: str, key: str, text: str, child: nested.Child, fields: dict[str, str] | None = None) -> str:
     parent = f"coalesce(TRY_CAST(e->>'$.{child.parent}' AS INT), 0)" if child.parent else "0"
     roots = f"SELECT {key}::VARCHAR AS record_key, unnest({_forms('v')}) AS r, generate_subscripts({_forms('v')}, 1) - 1 AS p FROM (SELECT {key}, CASE WHEN json_valid({text}) THEN {text}::JSON END AS v FROM {name})"
     inner = f"SELECT record_key, r AS e, p FROM ({roots})" if not child.path else f"SELECT record_key, unnest({_forms('c')}) AS e, generate_subscripts({_forms('c')}, 1) - 1 AS p FROM (SELECT record_key, r->'$.{child.path}' AS c FROM ({roots}))"
+    if fields is not None:
+        typed = ", ".join(f"TRY_CAST(e->>'$.{f}' AS {'VARCHAR' if t == 'string' else t}){'::DOUBLE' if t.startswith('decimal') else ''} AS {f}" for f, t in fields.items())
+        return f"SELECT record_key, {parent} AS parent_seq, p::INT AS pos, coalesce(e->>'$.{child.key}', '') AS child_key, {typed} FROM ({inner}) WHERE json_type(e) = 'OBJECT'"
     return f"SELECT '{name}' AS source_table, record_key, '{child.name}' AS child, {parent} AS parent_seq, p::INT AS pos, coalesce(e->>'$.{child.key}', '') AS child_key FROM ({inner}) WHERE json_type(e) = 'OBJECT'"
 
 
@@ -329,6 +346,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p4_report": p4_report,
     "p5_found": p5_found,
+    **{name: _flat(name) for name in CHILD_FIELDS},
     "p6_found": p6_found,
     "p6_months": p6_months,
     "p6_batches": p6_batches,
@@ -344,6 +362,7 @@ SQL = {
     "p4_found": P4_SQL,
     "p4_report": P4_REPORT_SQL,
     "p5_found": P5_SQL,
+    **{name: _child_sql(*spec) for name, spec in CHILD_FIELDS.items()},
     "p6_found": P6_SQL,
     "p6_months": P6_MONTHS_SQL,
     "p6_batches": P6_MONTHS_SQL,

@@ -46,7 +46,7 @@ def document_segments(df: DataFrame, key: str, payload: str, separator: str = "<
     def shown(v: Column) -> Column:
         parts = F.try_variant_get(v, "$", "map<string,string>")
         composite = F.array_join(F.transform(places(parts), lambda i: F.coalesce(F.try_element_at(parts, _name(i)), F.lit(""))), separator)
-        return F.when(nested.kind(v) == "O", composite).otherwise(F.try_variant_get(v, "$", "string"))
+        return F.when(nested.is_object(v), composite).otherwise(F.try_variant_get(v, "$", "string"))
 
     fields = F.try_variant_get("object", "$", "map<string,variant>")
     out = rows.select("record_key", F.col("pos").alias("segment_index"), F.nullif("child_key", F.lit("")).alias("segment"), F.col("parent_seq").alias("claim_seq"), fields.alias("_f"))
