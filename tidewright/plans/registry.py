@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewright.plans import claims, problems, reference  # noqa: F401 (claims registers its queries)
+from tidewright.plans import claims, marts, problems, reference  # noqa: F401 (claims and marts register their queries)
 
 
 def queries() -> dict:

@@ -77,6 +77,11 @@ class Model:
         out = out.select(*dims, *[ratios[m].alias(m) if m in ratios else F.col(m) for m in wanted])
         return out.orderBy(*dims).limit(limit) if dims and limit is not None else out
 
+    def allowed(self, metric: Metric) -> list[str]:
+        """The dimensions by which a metric may be asked: of a ratio those that both parts have."""
+        parts = [self.dimensions.get(self.metrics[m].table, ()) for m in metric.over] if metric.over else [self.dimensions.get(metric.table, ())]
+        return sorted(set(parts[0]).intersection(*parts[1:]))
+
     def registry(self, spark: SparkSession) -> DataFrame:
-        rows = [(m.name, m.table, "RATIO" if m.over else "BASE", m.additive, m.certified, sorted(self.dimensions.get(m.table, ())), m.description) for m in self.metrics.values()]
+        rows = [(m.name, m.table, "RATIO" if m.over else "BASE", m.additive, m.certified, self.allowed(m), m.description) for m in self.metrics.values()]
         return spark.createDataFrame(rows, "metric_name string, logical_table string, kind string, is_additive boolean, is_certified boolean, allowed_dimensions array<string>, description string")
