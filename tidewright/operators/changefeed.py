@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.expr import norm_id
-from tidewright.session import cut, scratch
+from tidewright.session import cut, dropped, scratch
 from tidewright.sources.tables import Pointer
 
 HOT_LEAST, HOT_SHARE, SALTS = 10_000, 10_000, 64
@@ -98,6 +98,7 @@ class ChangeLog:
         if len(names) >= MERGED:
             names = [self._merged(names)]
         self.pointer.set({"segments": names}, before)
+        dropped(changes, chains)
         return self.current()
 
     @staticmethod

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewright import session
 from tidewright.functions import expr as E
 from tidewright.operators import nested
 from tidewright.operators import relational as R
@@ -25,7 +26,7 @@ _built: dict[tuple[str, str, str], str] = {}
 def mart(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A mart by name, written to the shared folder when it is first asked for."""
     at = (spark.sparkContext.applicationId, sf, name)
-    if at not in _built:
+    if at not in _built or _built[at] not in session._written.get(at[0], ()):
         path = scratch(spark, name)
         MARTS[name](spark, sf).write.parquet(path)
         _built[at] = path

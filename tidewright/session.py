@@ -44,9 +44,26 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+_written: dict[str, list[str]] = {}  # by application
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; cleared() deletes it."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def cleared(spark: SparkSession) -> None:
+    """Deletes all that was written by scratch() and cut() in this application. For the end of a job, once its results are stored elsewhere: what
+    wasn't read yet can't be read any more."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hp.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hp, True)
 
 
 def cut(df: DataFrame, name: str = "cut", **options: str) -> DataFrame:
@@ -60,17 +77,19 @@ def dropped(*tables: DataFrame) -> None:
     """Deletes tables that cut() wrote, once nothing reads them any more."""
     for t in tables:
         for path in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
-            hp = t.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-            hp.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(hp, True)
+            _delete(t.sparkSession, path)
 
 
-def rows_at_most(df: DataFrame, most: int) -> bool:
-    return df.limit(most + 1).count() <= most
+def fits(df: DataFrame, rows: int, size: int) -> bool:
+    """Whether df has at most so many rows and bytes (of its values as text). No more than rows + 1 of them are looked at."""
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c, t in df.dtypes if not t.startswith(("array", "map", "struct", "variant", "binary"))), F.lit(0))
+    n, b = df.limit(rows + 1).agg(F.count("*"), F.sum(width)).first()
+    return n <= rows and (b or 0) <= size
 
 
-def lookup_side(df: DataFrame, most: int = 20_000) -> DataFrame:
-    """df, to be broadcast if it is proven to have no more than `most` rows; otherwise as it is, to be joined by shuffle."""
-    return F.broadcast(df) if rows_at_most(df, most) else df
+def lookup_side(df: DataFrame, rows: int = 20_000, size: int = 16 << 20) -> DataFrame:
+    """df, to be broadcast if it is proven to have no more than so many rows and bytes; otherwise as it is, to be joined by shuffle."""
+    return F.broadcast(df) if fits(df, rows, size) else df
 
 
 def spread(df: DataFrame) -> DataFrame:
