@@ -80,6 +80,21 @@ def test_found_and_restored(spark, corpus):
     assert all(not got[i].restorable for i, t in truth.items() if t is None and i in got)
 
 
+def test_fields_have_priors_of_their_own(spark, corpus):
+    rows, truth = corpus
+    df = spark.createDataFrame([(i, t, "größer als Übermut, naïve" if i % 3 else None, s) for i, t, s in rows], "doc_id long, title string, body string, source string").repartition(3)
+    got = m.repair(df, "doc_id", ["title", "body"], "source").collect()
+    found = {r.doc_id: r for r in got if r.field == "title"}
+    assert not any(r.field == "body" for r in got)  # the clean field stays clean
+    assert sum(i in found for i in truth) >= 0.98 * len(truth) and len(found.keys() - truth.keys()) <= 0.02 * len(truth)
+
+
+def test_rounds_come_to_rest(spark, corpus):
+    df = spark.createDataFrame(corpus[0], "doc_id long, text string, source string")
+    moved = m.fit(df, "text", "source").moved
+    assert len(moved) == 4 and moved[-1] < 0.005 and moved[-1] < moved[0]
+
+
 def test_nothing_to_find(spark):
     df = spark.createDataFrame([(1, None, None), (2, "", "s"), (3, "plain", "s")], "doc_id long, text string, source string")
     assert m.repair(df, "doc_id", "text", "source").collect() == []

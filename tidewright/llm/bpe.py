@@ -8,6 +8,7 @@ in caches of bounded size."""
 from __future__ import annotations
 
 import json
+import os
 import re
 from array import array
 from collections.abc import Iterable, Iterator
@@ -15,11 +16,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 
 from tidewright.session import ship, spread
 
-TOKENIZERS = "/opt/tokenizers"  # where the tokenizer files lie; a parameter of all operators
+TOKENIZERS = "/opt/tokenizers"  # where the driver finds the tokenizer files; a parameter of all operators
 #: The pattern that splits text before the merges (fixed value of the tokenizer).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The same for ASCII text.
@@ -229,10 +231,22 @@ _encoders: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)))
     return _encoders[path]
 
 
+_shipped: set[tuple[str, str]] = set()
+
+
+def shipped(spark: SparkSession, path: str) -> str:
+    """path, whose file is sent to executors that lack it, once per application."""
+    at = (spark.sparkContext.applicationId, path)
+    if at not in _shipped:
+        spark.sparkContext.addFile(path)
+        _shipped.add(at)
+    return path
+
+
 BATCH = 1_000_000  # characters encoded at a time
 
 
@@ -259,7 +273,7 @@ def encode_column(df: DataFrame, key: str, text: str, tokenizer: str = "byte_bpe
     Empty and null texts give an empty list. Texts are encoded whole, however long. Rows keep their number and partition; repeated rows
     give theirs each time, other columns are ignored."""
     ship(df.sparkSession)
-    path = f"{folder}/{tokenizer}.json"
+    path = shipped(df.sparkSession, f"{folder}/{tokenizer}.json")
     kind = df.schema[key].dataType.simpleString()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

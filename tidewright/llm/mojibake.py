@@ -299,7 +299,8 @@ def stretches(df: DataFrame, text: str, source: str | None) -> DataFrame:
 
 
 def fit(df: DataFrame, text: str, source: str | None, rounds: int = 4) -> Model:
-    """The model of all rows. rounds: of expectation-maximization after the first character model."""
+    """The model of all rows. rounds: of expectation-maximization after the first character model; the model's `moved` says what share of all stretches
+    went to another chain in each of them."""
     ship(df.sparkSession)
     context = df.sparkSession.sparkContext
     base, width = COUNTS, len(KINDS)
@@ -310,6 +311,7 @@ def fit(df: DataFrame, text: str, source: str | None, rounds: int = 4) -> Model:
             yield p.assign(kinds=[k for k, _ in both], texts=[t for _, t in both])
 
     table = cut(stretches(df, text, source).mapInPandas(read, "slot int, stretch string, n long, kinds array<int>, texts array<string>"), "stretches")
+    table = table.coalesce(context.defaultParallelism)  # each task gives up to one number per slot, so what is shuffled goes with the cores, not the corpus
 
     def gather(shared) -> pa.Table:
         def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -337,15 +339,20 @@ def fit(df: DataFrame, text: str, source: str | None, rounds: int = 4) -> Model:
 
     letters, _ = _tables(gather(None))
     priors = np.tile(start_prior(), (SLOTS, 1))
+    moved, before = [], start_prior()
     for i in range(rounds):
         shared = context.broadcast((letters.counts, priors))
         next_letters, counts = _tables(gather(shared))
         letters = next_letters if i else letters  # the first round learns the chains' shares only, so that doubtful stretches don't lend themselves support
         overall = counts.sum(0)
         overall = (overall + 50 * start_prior()) / (overall.sum() + 50)
+        moved.append(float(np.abs(overall - before).sum() / 2))
+        before = overall
         priors = (counts + 50 * overall) / (counts.sum(1, keepdims=True) + 50)
         shared.unpersist()
-    return Model(letters, priors)
+    out = Model(letters, priors)
+    out.moved = moved
+    return out
 
 
 SURE = 12.0  # log odds from which a stretch needs no look at its record
@@ -372,13 +379,23 @@ def judge(model: Model, source: int, found: list[str]) -> list[tuple[int, str]]:
     return out
 
 
-def repair(df: DataFrame, key: str, text: str, source: str | None = None, rounds: int = 4, with_text: bool = True) -> DataFrame:
+def repair(df: DataFrame, key: str, text: str | list[str], source: str | None = None, rounds: int = 4, with_text: bool = True) -> DataFrame:
     """One row per record in which a stretch was garbled: key, stretches (how many were), restorable (none of them lost anything), chain
     (the commonest), and repaired (the text with what could be restored; left out if with_text is false).
 
+    text may be several columns: there is then a row per record and field (column field), each field of a source has a prior of its own, and all
+    share the character model.
+
     Null and empty texts, and texts of ASCII alone, are never garbled. Characters that were meant stay, however rare. A null source is a
     source of its own. Records are judged whole; repeated rows each give a row, and other columns are ignored. With no rows there is nothing
     to learn and nothing found."""
+    if not isinstance(text, str):
+        names = F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("text")) for f in text]))
+        at = F.col(source).cast("string") if source else F.lit(None).cast("string")
+        stacked = df.select(F.col(key).alias("key"), at.alias("source"), names)
+        stacked = stacked.select(F.struct("key", "field").alias("key"), F.concat(F.coalesce("source", F.lit("\x00")), F.lit("\x1f"), "field").alias("source"), "text")
+        out = repair(stacked, "key", "text", "source", rounds, with_text)
+        return out.select(F.col("key.key").alias(key), "key.field", *out.columns[1:])
     model = fit(df, text, source, rounds)
     shared = df.sparkSession.sparkContext.broadcast((model.letters.counts, model.priors))
     kind = df.schema[key].dataType.simpleString()

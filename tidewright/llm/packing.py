@@ -117,7 +117,7 @@ def kinds(capacity: int, tokenizer: str, folder: str) -> tuple[str, str]:
 def sized(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str, folder: str) -> DataFrame:
     """id, key, n (tokens), size (of the piece to be packed: n, or what is left after full containers), ord (a hash of key and text), copy (how
     often a task saw that hash before), the piece's distinct tokens with their counts, and the text's tokens that the piece hasn't."""
-    path = f"{folder}/{tokenizer}.json"
+    path = bpe.shipped(df.sparkSession, f"{folder}/{tokenizer}.json")
     kind = df.schema[key].dataType.simpleString()
     term, number = kinds(capacity, tokenizer, folder)
 
