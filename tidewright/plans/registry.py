@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewright.plans import bronze, claims, control, marts, problems, reference  # noqa: F401 (all register their queries)
+from tidewright.plans import bronze, canonical, claims, control, marts, problems, reference  # noqa: F401 (all register their queries)
 
 
 def queries() -> dict:
