@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.expr import norm_id
-from tidewright.session import cut, dropped, scratch
+from tidewright.session import cut, dropped, scratch, together
 from tidewright.sources.tables import Pointer
 
 HOT_LEAST, HOT_SHARE, SALTS = 10_000, 10_000, 64
@@ -88,12 +88,10 @@ class ChangeLog:
             heads = heads.unionByName(self._read(names, "heads").select("entity", "head").join(touched, "entity", "left_semi"))
         pick = lambda which: F.max(F.when(F.col("is_new") == which, F.col("image")))
         chains = cut(new.groupBy("entity", "row").agg(pick(False).alias("before"), pick(True).alias("after")), "chains")
-        counted = heads.groupBy("entity").agg(F.max("head").alias("head")).join(chains.groupBy("entity").agg(F.count("*").alias("n")), "entity", "left")
-        counted = counted.withColumn("n", F.coalesce("n", F.lit(0)))
         segment = f"s-{uuid.uuid4().hex}"
-        signed = self._signed(with_heads(chains, counted))
-        signed.write.parquet(f"{self.path}/{segment}/images")
-        counted.select("entity", "head").write.parquet(f"{self.path}/{segment}/heads")
+        own, of_entity = chains.groupBy("entity").agg(F.count("*").alias("n")), heads.groupBy("entity").agg(F.max("head").alias("head"))
+        of_entity.join(own, "entity", "left").withColumn("n", F.coalesce("n", F.lit(0))).write.parquet(f"{self.path}/{segment}/heads")
+        self._signed(with_heads(chains, self._read([segment], "heads"))).write.parquet(f"{self.path}/{segment}/images")
         names = [*names, segment]
         if len(names) >= MERGED:
             names = [self._merged(names)]
@@ -117,8 +115,9 @@ class ChangeLog:
 
     def _merged(self, names: list[str]) -> str:
         one = f"s-{uuid.uuid4().hex}"
-        self.images(names).select("entity", "row", "version", "ts", "ord", F.lit(1).alias("n"), F.col("shown").cast("int").alias("shown")).write.parquet(f"{self.path}/{one}/images")
-        self.heads(names).write.parquet(f"{self.path}/{one}/heads")
+        images = self.images(names).select("entity", "row", "version", "ts", "ord", F.lit(1).alias("n"), F.col("shown").cast("int").alias("shown"))
+        heads = self.heads(names).withColumn("n", F.lit(0).cast("long"))
+        together(self.spark, lambda: images.write.parquet(f"{self.path}/{one}/images"), lambda: heads.write.parquet(f"{self.path}/{one}/heads"))
         return one
 
     def current(self) -> DataFrame:

@@ -77,7 +77,8 @@ class SeenStore:
         named = arrivals.select(*[F.col(c).alias(i) for c, i in zip(identity, ids)], F.struct(*[o.alias(f"o{n}") for n, o in enumerate(order)], F.col(arrival).alias("arrival")).alias("best"))
         best = named.groupBy(*ids).agg(F.min("best").alias("best")).select(*ids, "best.arrival")
         segment = f"s{len(state['epochs'])}-{uuid.uuid4().hex[:8]}"
-        stage, dictionary = f"{self.path}/stage-{segment}", f"{self.path}/dict-{segment}"
+        dictionary = f"{self.path}/dict-{segment}"
+        stage = [dictionary]
         known = None
         if state["segments"]:
             entries = self.spark.read.parquet(*state["segments"])
@@ -91,15 +92,14 @@ class SeenStore:
         fresh.select(*ids, "arrival", "segment", F.shiftright("spot", SHARD_BITS).cast("int").alias("shard"), F.col("spot").bitwiseAND(F.lit((1 << SHARD_BITS) - 1)).alias("code")).write.parquet(dictionary)
         coded = self.spark.read.parquet(dictionary)
         bucket, position = F.bitmap_bucket_number(F.col("code") + 1), F.bitmap_bit_position(F.col("code") + 1)
-        new = coded
         bits = self.seen()
         if known is not None:  # fresh codes are in no bitmap, and take no part in this join
             tested = known.withColumn("bucket", bucket).join(bits, ["segment", "shard", "bucket"], "left").withColumn("at", position)
             byte = F.conv(F.hex(F.substring("bits", (F.floor(F.col("at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
             seen = F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), F.pmod("at", F.lit(8))).cast("int")) > 0, F.lit(False))
-            new = coded.unionByName(tested.filter(~seen).select(*coded.columns))
-        new.write.parquet(stage)
-        staged = self.spark.read.parquet(stage)
+            stage.append(f"{self.path}/again-{segment}")  # in the dictionary, but not seen
+            tested.filter(~seen).select(*coded.columns).write.parquet(stage[1])
+        staged = self.spark.read.schema(coded.schema).parquet(*stage)
         now = staged.groupBy("segment", "shard", bucket.alias("bucket")).agg(F.bitmap_construct_agg(position).alias("bits"))
         if bits is not None:
             now = now.unionByName(bits).groupBy("segment", "shard", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
@@ -114,15 +114,20 @@ class SeenStore:
         if known is not None:
             self._delete(f"{self.path}/found-{segment}")
         for e in state["epochs"][: max(0, len(epochs) - REPLAYED)]:
-            if e["stage"]:
-                self._delete(e["stage"])
+            for path in e["stage"] or []:
+                if path not in segments:
+                    self._delete(path)
+        held = {path for e in epochs[-REPLAYED:] for path in e["stage"] or []}
+        for path in state["segments"]:
+            if path not in segments and path not in held:
+                self._delete(path)
         return self._kept(stage, identity, arrival)
 
     def _delete(self, path: str) -> None:
         self.pointer._fs.delete(self.pointer._hp(path), True)
 
-    def _kept(self, stage: str | None, identity: list[str], arrival: str) -> DataFrame:
-        rows = self.spark.read.parquet(stage or self.manifest()["epochs"][-1]["stage"])
+    def _kept(self, stage: list[str] | None, identity: list[str], arrival: str) -> DataFrame:
+        rows = self.spark.read.parquet(*(stage or self.manifest()["epochs"][-1]["stage"]))
         return (rows if stage else rows.limit(0)).select(*[F.col(f"i{n}").alias(c) for n, c in enumerate(identity)], F.col("arrival").alias(arrival))
 
 

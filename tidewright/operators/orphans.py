@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.expr import norm_id
-from tidewright.session import lookup_side
+from tidewright.session import together
 from tidewright.sources.tables import Pointer
 
 SALTS = 8
@@ -50,14 +50,13 @@ class OrphanLedger:
     the parent index; references of the keys whose events a batch brings are looked up and probed again, so that parents resolve
     what waits for them and deletions reopen it.
 
-    Each batch writes a segment of references, index, pending orphans and the keys it judged anew, which overrule what older segments hold
-    pending for them; MERGED segments are merged into one. The manifest that names the segments is replaced by one rename, so a batch counts
+    Each batch writes a segment of references, index and pending orphans; for the keys in its index it overrules what older segments hold
+    pending. MERGED segments are merged into one. The manifest that names the segments is replaced by one rename, so a batch counts
     as a whole or not at all, and a ledger on the same path goes on where the last one ended."""
 
-    INDEX = "field string, key string, has_current boolean, first_seen timestamp_ntz, seq long"
+    INDEX = "field string, key string, has_current boolean, first_seen timestamp_ntz, seq long, batch long"
     REFS = "table_name string, row_id long, field string, key string, at timestamp_ntz"
     PENDING = REFS + ", reason string, batch long"
-    TOUCHED = "field string, key string, batch long"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -72,7 +71,7 @@ class OrphanLedger:
 
     def index(self, names: list[str] | None = None, more: DataFrame | None = None) -> DataFrame:
         """One row per field and key: whether it has a valid row, since when, and the number of its newest event."""
-        rows = self._read(self._segments() if names is None else names, "index", self.INDEX)
+        rows = self._read(self._segments() if names is None else names, "index", self.INDEX).drop("batch")
         newest = F.max(F.struct("seq", "has_current"))
         rows = rows if more is None else rows.unionByName(more)
         return rows.groupBy("field", "key").agg(newest.alias("n"), F.min("first_seen").alias("first_seen")).select("field", "key", "n.has_current", "first_seen", "n.seq")
@@ -84,12 +83,10 @@ class OrphanLedger:
         names, batch = self._segments(), (before["batch"] + 1 if before else 0)
         at = f"{self.path}/s-{uuid.uuid4().hex}"
         fresh = references.select("table_name", F.col("row_id").cast("long").alias("row_id"), "field", norm_id("key").alias("key"), F.col("at").cast("timestamp_ntz").alias("at")).filter("key is not null")
-        fresh.write.parquet(f"{at}/refs")
-        fresh = self.spark.read.schema(self.REFS).parquet(f"{at}/refs")
         events = parents.select("field", norm_id("key").alias("key"), F.coalesce("current", F.lit(False)).alias("has_current"), F.col("arrived").cast("timestamp_ntz").alias("first_seen"), F.col("seq").cast("long").alias("seq")).filter("key is not null")
-        self.index([], events).write.parquet(f"{at}/index")
-        events = self.spark.read.schema(self.INDEX).parquet(f"{at}/index")
-        events.select("field", "key", F.lit(batch).cast("long").alias("batch")).write.parquet(f"{at}/touched")
+        indexed = self.index([], events).withColumn("batch", F.lit(batch).cast("long"))
+        together(self.spark, lambda: fresh.write.parquet(f"{at}/refs"), lambda: indexed.write.parquet(f"{at}/index"))
+        fresh, events = (self.spark.read.schema(s).parquet(f"{at}/{n}") for n, s in (("refs", self.REFS), ("index", self.INDEX)))
         judged = fresh
         if names:
             judged = fresh.unionByName(self._read(names, "refs", self.REFS).join(events.select("field", "key"), ["field", "key"], "left_semi"))
@@ -104,16 +101,14 @@ class OrphanLedger:
 
     def _merged(self, names: list[str]) -> str:
         one = f"s-{uuid.uuid4().hex}"
-        self._read(names, "refs", self.REFS).write.parquet(f"{self.path}/{one}/refs")
-        self.index(names).write.parquet(f"{self.path}/{one}/index")
-        self._pending(names).write.parquet(f"{self.path}/{one}/pending")
-        self.spark.createDataFrame([], self.TOUCHED).write.parquet(f"{self.path}/{one}/touched")
+        parts = {"refs": self._read(names, "refs", self.REFS), "index": self.index(names).withColumn("batch", F.lit(-1).cast("long")), "pending": self._pending(names)}
+        together(self.spark, *[lambda n=n, df=df: df.write.parquet(f"{self.path}/{one}/{n}") for n, df in parts.items()])
         return one
 
     def _pending(self, names: list[str]) -> DataFrame:
         rows = self._read(names, "pending", self.PENDING)
         if len(names) > 1:
-            since = self._read(names, "touched", self.TOUCHED).groupBy("field", "key").agg(F.max("batch").alias("_since"))
+            since = self._read(names, "index", self.INDEX).groupBy("field", "key").agg(F.max("batch").alias("_since"))
             rows = rows.join(since, ["field", "key"], "left").filter("_since is null or batch >= _since").drop("_since")
         return rows.select("table_name", "row_id", "field", "key", "at", "reason", "batch")
 

@@ -91,12 +91,12 @@ def latest_first(column: str):
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    """The landed messages accepted in three epochs, from the newest extracts back, as of a message's copies the one of the latest extract is kept."""
+    """The landed messages accepted in two epochs, the newer extracts first, as of a message's copies the one of the latest extract is kept."""
     rows = messages(spark, sf)
     first, last = table(spark, sf, "br_raw_claim_event").agg(F.min(micros("source_extract_ts")), F.max(micros("source_extract_ts"))).first()
     width = ((last or 0) - (first or 0)) // 2 + 1
     age = ((F.lit(last or 0) - micros("source_extract_ts")) / width).cast("int")
-    return delivery.surplus(rows, ["claim_id", "claim_version", "digest"], [latest_first("source_extract_ts"), latest_first("ingest_ts")], "bronze_event_id", rank=F.coalesce(age, F.lit(2)), parts=3)
+    return delivery.surplus(rows, ["claim_id", "claim_version", "digest"], [latest_first("source_extract_ts"), latest_first("ingest_ts")], "bronze_event_id", rank=F.coalesce(age, F.lit(1)), parts=2)
 
 
 P2_SQL = r"""

@@ -6,7 +6,10 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +83,12 @@ def dropped(*tables: DataFrame) -> None:
             _delete(t.sparkSession, path)
 
 
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """What the jobs give, which don't depend on each other and are started at once."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(j)) for j in jobs]]
+
+
 def fits(df: DataFrame, rows: int, size: int) -> bool:
     """Whether df has at most so many rows and bytes (of its values as text). No more than rows + 1 of them are looked at."""
     width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c, t in df.dtypes if not t.startswith(("array", "map", "struct", "variant", "binary"))), F.lit(0))
