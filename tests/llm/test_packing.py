@@ -40,14 +40,30 @@ def test_matching_and_filling_up(spark):
     for i in range(100, 180):  # the best edge of all is never refused
         if edges and max(edges, key=lambda e: (e[6], e[1]))[3] == i:
             assert any(x.item == i for x in taken)
-    open_ = spark.createDataFrame([(s, s, 0, room[s], 1) for s in range(30)], "id long, ord long, copy long, room int, places int")
-    items = spark.createDataFrame([(i, i, 0, n) for i, n in [*size.items(), *[(500 + k, 0) for k in range(9)]]], "id long, ord long, copy long, size int")
-    laid = packing.fill_up(open_, items, 500, 1).collect()
-    assert sorted(x.id for x in laid) == sorted([*size, *range(500, 509)])
-    used = Counter()
+    seeds = spark.createDataFrame([(s, s, 0, 500) for s in range(30)], "id long, ord long, copy long, size int")
+    given = {x.item for x in taken}
+    near = spark.createDataFrame([(x.item, x.iord, x.size, x.seed, k) for k, x in enumerate(taken)], "id long, ord long, size int, seed long, place int")
+    left = {i: n for i, n in size.items() if i not in given} | {500 + k: 0 for k in range(9)}
+    items = spark.createDataFrame([(i, i, 0, n) for i, n in left.items()], "id long, ord long, copy long, size int")
+    laid = packing.fill_up(seeds, near, items, 1000, 1).collect()
+    assert sorted(x.id for x in laid) == sorted([*range(30), *given, *left])
+    used, places = Counter(), {}
     for x in laid:
-        used[x.container] += size.get(x.id, 0)
-    assert all(n <= (room[c] if c < 100 else 500) for c, n in used.items())
+        used[x.container] += 500 if x.id < 30 else size.get(x.id, 0)
+        places.setdefault(x.container, []).append(x.place)
+    assert max(used.values()) <= 1000 and all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_containers_that_neighbours_leave_too_empty_are_packed_again():
+    r = random.Random(4)
+    sizes = np.array(r.sample([40, 60, 55, 45] * 100, 400))  # they pair up
+    content = [[i] for i in range(300)]  # far more containers than it takes
+    boxes = packing.laid_out(content, sizes, np.arange(300, 400), 100)
+    assert sorted(i for b in boxes for i in b) == list(range(400))
+    assert max(sizes[b].sum() for b in boxes) <= 100 and len(boxes) <= -(-sizes.sum() // (packing.FULL * 100))
+    snug = [[i, i + 1] for i in range(0, 10, 2)]
+    assert packing.laid_out(snug, np.array([60, 40] * 5), np.zeros(0, int), 100) == snug  # what is full stays
+    assert packing.laid_out([], np.zeros(0, int), np.zeros(0, int), 100) == []
 
 
 def test_operator(spark):

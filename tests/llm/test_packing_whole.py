@@ -78,6 +78,23 @@ def test_same_containers_whatever_the_partitions(spark):
     assert out[0] == out[1]
 
 
+def test_copies_are_shared_among_seeds(spark):
+    """Copies have the same score for every seed; seeds don't all want the same few of them."""
+    r = random.Random(9)
+    words = ["".join(r.choice(LOW) for _ in range(6)) for _ in range(200)]
+    copy = " ".join(r.choice(words) for _ in range(30))
+    texts = [copy] * 600 + [" ".join(r.choice(words) for _ in range(30)) for _ in range(600)]
+    table = cut(packing.sized(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text", 2048, "byte_bpe_50k", bpe.TOKENIZERS), "sized")
+    idf, mean = packing.statistics(table, KINDS[0])
+    seeds = packing.seeds_of(table, 2048).withColumn("room", (F.lit(2048) - F.col("size")).cast("int"))
+    for postings in (packing.POSTINGS, 5_000):
+        found = packing.nearest(seeds, table.join(seeds.select("id"), "id", "left_anti"), idf, mean, KINDS, postings=postings).collect()
+        asked, items = len({e.seed for e in found}), len({e.item for e in found})
+        assert items > 5 * packing.NEAREST or items > 0.8 * (len(texts) - asked)
+    placed = packing.match(packing.nearest(seeds, table.join(seeds.select("id"), "id", "left_anti"), idf, mean, KINDS), 3)[0].count()
+    assert placed > 300
+
+
 def test_texts_over_the_capacity_count_whole(spark):
     df = spark.createDataFrame([(0, "alpha " * 300 + "beta"), (1, "gamma"), (2, "alpha")], "doc_id long, text string")
     table = packing.sized(df, "doc_id", "text", 128, "byte_bpe_50k", bpe.TOKENIZERS)

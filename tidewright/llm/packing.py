@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,6 +30,7 @@ GROUP = 32_768  # containers that are filled up together
 NEAREST = 32  # texts that a probe returns for a seed
 TERMS = 64  # of a seed, those of most weight, by which each shard chooses candidates
 CANDIDATES = 64  # of each shard, scored exactly
+FULL = 0.93  # of all containers' room that should be used
 PROBES, ROUNDS = 2, 3  # probes of the index; rounds of matching after each
 K1, B = 1.2, 0.75
 
@@ -67,18 +67,26 @@ class Index:
         self.asked[terms] = 0
         return out
 
-    def nearest(self, terms: np.ndarray, room: int, k: int, by: int = TERMS, candidates: int = CANDIDATES) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of the k best items that fit; `terms` come by weight, the first `by` of them choose the candidates."""
+    def nearest(self, terms: np.ndarray, room: int, k: int, by: int = TERMS, candidates: int = CANDIDATES, turn: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Places and scores of the k best items that fit; `terms` come by weight, the first `by` of them choose the candidates. Of items with the same
+        score, as copies have, those come first that follow on `turn` in the order of places, so that seeds with different turns want different ones."""
         fit = int(np.searchsorted(self.sizes, room, "right"))
         if not fit or not len(terms):
             return np.zeros(0, np.int64), np.zeros(0)
         some = self.scores(terms[:by], fit)
-        near = np.argpartition(-some, candidates - 1)[:candidates] if fit > candidates else np.arange(fit)
+        near = np.arange(fit)
+        if fit > candidates:
+            near = np.argpartition(-some, candidates - 1)[:candidates]
+            least = some[near].min()
+            same = np.flatnonzero(some == least)
+            over = near[some[near] > least]
+            if len(over) + len(same) > candidates:
+                near = np.concatenate([over, np.roll(same, -int(np.searchsorted(same, turn % fit)))[: candidates - len(over)]])
         near = np.sort(near[some[near] > 0])
         if not len(near):
             return near, np.zeros(0)
         score = np.round(self.exact(terms, near), 4)
-        best = np.argsort(-score, kind="stable")[:k]
+        best = np.lexsort(((near - turn) % fit, -score))[:k]
         return near[best], score[best]
 
 
@@ -224,7 +232,7 @@ def nearest(seeds: DataFrame, items: DataFrame, idf: np.ndarray, mean: float, ki
                 ids, ords = ids[order], ords[order]
             out = []
             for i in range(first, len(tag)):
-                near, score = index.nearest(np.frombuffer(terms[i], term).astype(np.int64), int(size[i]), k, by, candidates)
+                near, score = index.nearest(np.frombuffer(terms[i], term).astype(np.int64), int(size[i]), k, by, candidates, int(ord_[i]) & 0x7FFFFFFF)
                 if len(near):
                     out.append((np.full(len(near), id_[i]), np.full(len(near), ord_[i]), np.full(len(near), size[i]), ids[near], ords[near], index.sizes[near], score))
             if out:
@@ -235,23 +243,23 @@ def nearest(seeds: DataFrame, items: DataFrame, idf: np.ndarray, mean: float, ki
     found = found.mapInArrow(run, "seed long, sord long, room int, item long, iord long, size int, score double")
     if shards == 1:
         return found
-    return spark.sql(f"SELECT seed, sord, room, item, iord, size, score FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY score DESC, iord, item) AS rn FROM {{near}}) WHERE rn <= {k}", near=found)
+    return spark.sql(f"SELECT seed, sord, room, item, iord, size, score FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY score DESC, xxhash64(sord, iord), item) AS rn FROM {{near}}) WHERE rn <= {k}", near=found)
 
 
 def match(edges: DataFrame, rounds: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Texts given to seeds: seed, item, size, score, turn; and the tables written for it. In each round every text asks the seed it fits best of
+    """Texts given to seeds: seed, item, iord, size, score, turn; and the tables written for it. In each round every text asks the seed it fits best of
     those that still have room for it, and each seed takes what asks it, best first, while there is room."""
     taken, written = None, []
     for turn in range(rounds):
-        best = edges.groupBy("item").agg(F.max(F.struct("score", "sord", "seed", "size", "room", "iord")).alias("x")).select("item", "x.*")
+        best = edges.groupBy("item").agg(F.max(F.struct("score", F.xxhash64("sord", "iord").alias("tie"), "seed", "size", "room", "iord")).alias("x")).select("item", "x.*")
         asks = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "iord", "item", "size")))  # no more than NEAREST a seed
 
         def take(state, x):
-            more = F.struct((state.room - x["size"]).cast("int").alias("room"), F.array_append(state.got, F.struct(x["item"].alias("item"), x["size"].alias("size"), (-x["s"]).alias("score"))).alias("got"))
+            more = F.struct((state.room - x["size"]).cast("int").alias("room"), F.array_append(state.got, F.struct(x["item"].alias("item"), x["iord"].alias("iord"), x["size"].alias("size"), (-x["s"]).alias("score"))).alias("got"))
             return F.when(x["size"] <= state.room, more).otherwise(state)
 
         won = best.groupBy("seed").agg(asks.alias("asks"), F.first("room").alias("room"))
-        start = F.struct("room", F.array().cast("array<struct<item:bigint,size:int,score:double>>").alias("got"))
+        start = F.struct("room", F.array().cast("array<struct<item:bigint,iord:bigint,size:int,score:double>>").alias("got"))
         won = cut(won.select("seed", F.aggregate("asks", start, take).alias("r")).select("seed", "r.room", "r.got"), "won")
         written.append(won)
         pairs = won.select("seed", F.inline("got")).withColumn("turn", F.lit(turn))
@@ -277,27 +285,56 @@ def seeds_of(items: DataFrame, capacity: int) -> DataFrame:
     return items.filter(large | share)
 
 
-def fill_up(open_: DataFrame, items: DataFrame, capacity: int, containers: int) -> DataFrame:
-    """Texts laid by size: id, container, place. open_: id (the container), ord, copy, room, places (used so far); items: id, ord, copy, size (texts without
-    tokens too, which come last). Containers and texts are dealt into groups by hash, each filled by one task."""
+def laid_out(content: list[list[int]], sizes: np.ndarray, rest: np.ndarray, capacity: int) -> list[list[int]]:
+    """Containers (lists of texts by number) once the texts of `rest`, largest first, are laid where they leave the least room. If the containers are
+    then less than FULL on the whole, those with most room are emptied, a tenth of all at a time, and their texts laid by size alone, until they are
+    full enough; if they never are, in the way that takes the fewest containers."""
+
+    def filled(boxes: list[list[int]], items: np.ndarray) -> list[list[int]]:
+        out = [list(b) for b in boxes]
+        for i, box in zip(items.tolist(), best_fit([capacity - int(sizes[b].sum()) for b in boxes], sizes[items], capacity)):
+            if box == len(out):
+                out.append([])
+            out[box].append(i)
+        return out
+
+    first = best = filled(content, rest)
+    wanted = int(-(-sizes.sum() // (FULL * capacity)))
+    by_room = sorted(range(len(first)), key=lambda b: int(sizes[first[b]].sum()))
+    for tenth in range(1, 11):
+        if len(best) <= wanted:
+            break
+        n = -(-len(by_room) * tenth // 10)
+        loose = np.array([i for b in by_room[:n] for i in first[b]], np.int64)
+        again = filled([first[b] for b in by_room[n:]], loose[np.argsort(-sizes[loose], kind="stable")])
+        best = again if len(again) < len(best) else best
+    return best
+
+
+def fill_up(seeds: DataFrame, near: DataFrame, items: DataFrame, capacity: int, containers: int) -> DataFrame:
+    """Where all texts lie: id, container (the id of the first text in it), place. seeds: id, ord, copy, size; near, the texts given to them: id, ord, size,
+    seed, place; items, those left: id, ord, copy, size (texts without tokens too, which come last). Seeds with their texts, and the texts left,
+    are dealt into groups by hash, each filled by one task."""
     groups = max(1, -(-containers // GROUP))
     group = F.pmod(F.xxhash64("ord", "copy", F.lit(3)), F.lit(groups)).cast("int").alias("g")
-    both = open_.select(group, F.lit(0).alias("kind"), "id", "ord", F.col("room").alias("size"), "places").unionByName(items.select(group, F.lit(1).alias("kind"), "id", "ord", "size", F.lit(0).alias("places")))
+    none = F.lit(None).cast("long").alias("seed")
+    mine = near.join(seeds.select(group, F.col("id").alias("seed")), "seed").select("g", F.lit(1).alias("kind"), "id", "ord", "size", "seed", "place")
+    both = seeds.select(group, F.lit(0).alias("kind"), "id", "ord", "size", none, F.lit(0).alias("place")).unionByName(mine)
+    both = both.unionByName(items.select(group, F.lit(2).alias("kind"), "id", "ord", "size", none, F.lit(0).alias("place")))
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(["kind", "size", "ord", "id"], ascending=[True, False, True, True])
-        boxes, texts = p[p["kind"] == 0], p[p["kind"] == 1]
-        full, size = texts["size"].to_numpy() > 0, texts["size"].to_numpy()
-        box = best_fit(boxes["size"].tolist(), size[full], capacity)
-        labels, places = boxes["id"].tolist(), boxes["places"].tolist()
-        out = []
-        for i, b in zip(texts["id"].tolist(), box + [-1] * int((~full).sum())):
-            if b == len(labels) or not labels:
-                labels.append(i)
-                places.append(0)
-            out.append((i, labels[b], places[b]))
-            places[b] += 1
-        return pd.DataFrame(out, columns=["id", "container", "place"])
+        p = p.sort_values(["kind", "place", "size", "ord", "id"], ascending=[True, True, False, True, True])
+        kind, ids, sizes = p["kind"].to_numpy(), p["id"].to_numpy(), p["size"].to_numpy().astype(np.int64)
+        content = [[i] for i in np.flatnonzero(kind == 0).tolist()]
+        box_of = {ids[b[0]]: b for b in content}
+        for i, s in zip(np.flatnonzero(kind == 1).tolist(), p["seed"][kind == 1].astype("int64").tolist()):
+            box_of[s].append(i)
+        boxes = laid_out(content, sizes, np.flatnonzero((kind == 2) & (sizes > 0)), capacity)
+        empty = np.flatnonzero(sizes == 0).tolist()
+        if empty:
+            boxes = boxes or [[]]
+            boxes[-1] = boxes[-1] + empty
+        return pd.DataFrame([(ids[i], ids[b[0]], k) for b in boxes for k, i in enumerate(b)], columns=["id", "container", "place"])
 
     return both.repartitionById(groups, F.col("g")).groupBy("g").applyInPandas(run, "id long, container long, place int")
 
@@ -333,14 +370,10 @@ def pack(df: DataFrame, key: str, text: str, capacity: int = 2048, tokenizer: st
         done += [edges, *written]
     taken = cut(taken, "taken")
     dropped(*done)
-    used = taken.groupBy(F.col("seed").alias("id")).agg(F.sum("size").alias("used"), F.count("*").alias("n"))
-    open_ = seeds.join(used, "id", "left").select("id", "ord", "copy", (F.col("room") - F.coalesce("used", F.lit(0))).cast("int").alias("room"), (F.coalesce("n", F.lit(0)) + 1).cast("int").alias("places"))
     rest = table.filter("size > 0 or n = 0").join(seeds.select("id").unionByName(taken.select(F.col("item").alias("id"))), "id", "left_anti").select("id", "ord", "copy", "size")
-    laid = fill_up(open_, rest, capacity, max(containers, count // 8))
-    in_order = taken.groupBy("seed").agg(F.array_sort(F.collect_list(F.struct("turn", (-F.col("score")).alias("s"), "item"))).alias("all"))  # a container's texts
-    near = in_order.select(F.col("seed").alias("container"), F.posexplode("all").alias("p", "x")).select(F.col("x.item").alias("id"), "container", (F.col("p") + 1).alias("place"))
-    first = seeds.select("id", F.col("id").alias("container"), F.lit(0).alias("place"))
-    where = reduce(DataFrame.unionByName, [laid, near, first])
+    in_order = taken.groupBy("seed").agg(F.array_sort(F.collect_list(F.struct("turn", (-F.col("score")).alias("s"), "iord", "item", "size"))).alias("all"))  # a container's texts
+    near = in_order.select("seed", F.posexplode("all").alias("place", "x")).select(F.col("x.item").alias("id"), F.col("x.iord").alias("ord"), "x.size", "seed", "place")
+    where = fill_up(seeds, near, rest, capacity, max(containers, count // 8))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
