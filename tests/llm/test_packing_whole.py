@@ -121,3 +121,39 @@ def test_best_fit():
     used = np.bincount(boxes, sizes)
     assert used.max() <= 100 and sizes.sum() / (100 * len(used)) > 0.95
     assert packing.best_fit([7, 3, 5], np.array([5, 3, 3, 2]), 10) == [2, 1, 0, 0]
+
+
+@pytest.mark.parametrize("flat", [256, 8])
+def test_a_seed_meets_few_items_however_large_the_corpus(monkeypatch, flat):
+    """A corpus of four times the size costs a seed no more, with cells in one level and in two; and the items of its own topic are among those it meets."""
+    monkeypatch.setattr(packing, "FLAT", flat)
+    r = np.random.default_rng(11)
+    met = []
+    for n in (20_000, 80_000):
+        topics = r.standard_normal((n // 100, packing.WIDTH))
+        topic = r.integers(0, len(topics), n)
+        x = packing.unit(topics[topic] + 0.7 * r.standard_normal((n, packing.WIDTH)))
+        k = -(-n // packing.CELL)
+        cells = packing.Cells(x[: packing.SAMPLE * k], k, n, 12)
+        unit = cells.units(x, np.arange(n))
+        assert len(cells.shard) == cells.base[-1] and 0 <= unit.min() and unit.max() < cells.base[-1]
+        sizes = np.bincount(unit, minlength=cells.base[-1])
+        seeds = r.permutation(n)[:300]
+        seed, visited = cells.visits(x[seeds], seeds)
+        met.append(sizes[visited].sum() / 300)
+        found = [np.isin(unit[topic == topic[s]], visited[seed == i]).mean() for i, s in enumerate(seeds)]
+        assert np.mean(found) > 0.85
+    assert met[1] < 1.3 * met[0] and max(met) < 4 * packing.VISITS * packing.CELL
+
+
+def test_a_mass_of_like_items_is_shared_among_units():
+    """Sketches that don't differ can't be told apart by cells: such a mass is dealt into units by hash, of which a seed meets as many as cells."""
+    r = np.random.default_rng(12)
+    x = packing.unit(r.standard_normal((40_000, packing.WIDTH)))
+    x[r.permutation(40_000)[:30_000]] = x[0]
+    k = -(-len(x) // packing.CELL)
+    cells = packing.Cells(x[: packing.SAMPLE * k], k, len(x), 12)
+    sizes = np.bincount(cells.units(x, np.arange(len(x))), minlength=cells.base[-1])
+    assert sizes.sum() == len(x) and sizes.max() < 5 * packing.CELL
+    seed, unit = cells.visits(x[:500], np.arange(500))
+    assert len(set(zip(seed.tolist(), unit.tolist()))) == len(seed) and np.bincount(seed).min() >= packing.VISITS
