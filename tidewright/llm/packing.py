@@ -34,7 +34,7 @@ VISITS = 8  # cells whose items a seed is scored against, all of them; more if t
 FLAT, MOST, SAMPLE = 256, 16_384, 8  # cells that are found at once, without a level above; cells at most; items a cell from which they are found
 WIDTH, LONG = 256, 512  # numbers of a sketch, and its length
 STEP, TIES = 10_000, (1 << 31) - 1  # steps of a score that count; the bits of a rank below the score
-FULL = 0.93  # of all containers' room that should be used
+FULL = 0.98  # of all containers' room that should be used
 PROBES, ROUNDS = 2, 3  # probes of the index; rounds of matching after each
 K1, B = 1.2, 0.75
 

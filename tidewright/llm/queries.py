@@ -21,17 +21,27 @@ def p9_packed(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(documents(spark, sf), "doc_id", "text")
 
 
-def p9_invariants(spark: SparkSession, sf: str) -> DataFrame:
-    """What must hold of the containers: every text whole and once, none over the capacity, places without holes, little room left (the fullness of
-    all but what the last containers of a group may lack)."""
-    packed = cut(p9_packed(spark, sf), "packed")
+def invariants(docs: DataFrame, packed: DataFrame) -> DataFrame:
+    """What must hold of the containers: every text whole and once, none over the capacity, places without holes, little room left: all but one
+    container, the last, are full to 0.98 on average (a corpus seldom is a multiple of the capacity).
+
+    Ids that several rows share are whole if each row has its first piece, and no piece follows but full ones."""
     boxes = packed.groupBy("container").agg(F.sum("tokens").alias("t"), F.count("*").alias("n"), F.count_distinct("place").alias("p"), F.max("place").alias("m"))
-    texts = packed.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("piece").alias("m"), F.sum("tokens").alias("t"), F.max(F.col("first") + F.col("tokens")).alias("to"))
-    a = boxes.agg(F.count_if(F.expr("t > 2048")).alias("over_capacity"), F.count_if(F.expr("n <> p or n <> m + 1")).alias("with_holes"), (F.sum("t") > F.lit(0.98 * 2048) * F.count("*")).alias("is_full"))
-    b = texts.agg(F.count("*").alias("texts"), F.count_if(F.expr("n <> m + 1 or t <> to")).alias("torn"))
+    full = F.coalesce(F.sum("t") > F.lit(0.98 * 2048) * (F.count("*") - 1), F.lit(True)).alias("is_full")
+    a = boxes.agg(F.count_if(F.expr("t > 2048")).alias("over_capacity"), F.count_if(F.expr("n <> p or n <> m + 1")).alias("with_holes"), full)
+    rows = docs.select("doc_id", F.lit(-1).alias("piece"), F.lit(-2048).cast("long").alias("first"), F.lit(2048).cast("long").alias("tokens"))
+    pieces = packed.select("doc_id", "piece", "first", "tokens").unionByName(rows).groupBy("doc_id", "piece")
+    pieces = pieces.agg(F.count("*").alias("n"), F.count_if(F.expr("tokens = 2048")).alias("whole"), F.count_if(F.expr("first <> piece * 2048L")).alias("off"))
+    texts = pieces.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("piece", "n", "whole", "off"))).alias("p"))
+    torn = "size(p) < 2 or p[1].n <> p[0].n or exists(transform(p, (x, i) -> x.piece <> i - 1 or x.off > 0 or (i > 0 and x.n > p[i - 1].whole)), x -> x)"
+    b = texts.agg(F.count_if(F.expr("doc_id is not null and p[size(p) - 1].piece >= 0")).alias("texts"), F.count_if(F.expr(torn)).alias("torn"))
     return b.crossJoin(a).select("texts", "torn", "over_capacity", "with_holes", "is_full")  # one row each
 
 
+def p9_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    return invariants(documents(spark, sf), cut(p9_packed(spark, sf), "packed"))
+
+
 P9_INVARIANTS_SQL = "SELECT count(DISTINCT doc_id) AS texts, 0::BIGINT AS torn, 0::BIGINT AS over_capacity, 0::BIGINT AS with_holes, true AS is_full FROM documents"
 
 
